@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.skew import SALT, with_salt
@@ -47,14 +47,13 @@ def skew_partition(
     return salted.repartition(partitions, key, SALT)
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], value: str, partitions: int | None = None) -> DataFrame:
-    """Sum of ``value`` per key, optionally with a given number of reducers.
+def sum_by(
+    df: DataFrame, keys: Sequence[str], value: Column, name: str, partitions: int | None = None
+) -> DataFrame:
+    """Sum of ``value`` per key; ``partitions`` places the sums by the first key.
 
-    The aggregation combines rows before its shuffle, which a preceding
-    ``repartition`` of the raw rows would prevent; so the reducer count is
-    applied to the partial sums: first by key and input partition, then by key.
+    The number of places is applied to the sums and not to the raw rows, which
+    would have to be moved before they are combined.
     """
-    if partitions is None:
-        return df.groupBy(*keys).agg(F.sum(value).alias("total"))
-    sums = df.groupBy(*keys).agg(F.sum(value).alias("total"))
-    return sums.repartition(partitions, *keys)
+    sums = df.groupBy(*keys).agg(F.sum(value).alias(name))
+    return sums.repartition(partitions, keys[0]) if partitions else sums

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.parse import LOG_TIME_FORMAT
 from ..plans.ordered import carry_last
 
 # The metric names.
@@ -133,6 +134,3 @@ def session_lines(
     start = F.date_format(F.col("session_start").cast("timestamp"), LOG_TIME_FORMAT)
     return stamped.select(*group_by, F.concat(start, F.lit("\t"), line).alias("value"))
 
-
-# Fixed value: the time format of log lines and of session output.
-LOG_TIME_FORMAT = "dd/MMM/yyyy HH:mm:ss Z"
