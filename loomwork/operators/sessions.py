@@ -132,5 +132,5 @@ def session_lines(
     """
     stamped = assign_sessions(df, group_by, order_by, gap, **paging)
     start = F.date_format(F.col("session_start").cast("timestamp"), LOG_TIME_FORMAT)
-    return stamped.select(*group_by, F.concat(start, F.lit("\t"), line).alias("value"))
+    return stamped.withColumn("value", F.concat(start, F.lit("\t"), line))
 
