@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
+from ..storage import bucketed, cut_lineage
 
 SLICE_LINKS = 1_000_000  # links of one vertex handled by one task
 CUT_EVERY = 5  # rounds between lineage cuts
@@ -62,8 +62,13 @@ def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
             F.when(upward, F.col("hi")).otherwise(F.col("lo")).alias("b"),
         )
     )
-    wedges = out.join(out.withColumnRenamed("b", "c"), "a").where(F.col("b") < F.col("c"))
-    closed = wedges.join(links.select(F.col("lo").alias("b"), F.col("hi").alias("c")), ["b", "c"])
+    # a pair closes only if its lower end has links of its own
+    onward = out.select(F.col("a").alias("b")).distinct()
+    first = out.join(onward, "b", "left_semi").select("a", "b")
+    wedges = first.join(out.withColumnRenamed("b", "c"), "a").where(F.col("b") != F.col("c"))
+    # links are unique, so as the build side of a hash join they are even and
+    # the far more numerous pairs need no sort
+    closed = wedges.join(out.select(F.col("a").alias("b"), F.col("b").alias("c")).hint("shuffle_hash"), ["b", "c"])
     corners = (
         closed.select(F.explode(F.array("a", "b", "c")).alias("id"))
         .groupBy("id")
@@ -87,25 +92,23 @@ def pagerank(
     Ranks start at 1 and are not normalised; parallel edges count each.  With a
     ``tolerance`` the loop ends when no rank moves by more, else after exactly
     ``max_rounds``.  A vertex with many links has them in several slices, each
-    joined to a copy of its rank, so no task handles all of them; the links are
-    placed once and never move again.
+    joined to a copy of its rank, so no task handles all of them.  The links are
+    bucketed once and do not move again; ranks and sums do.
     """
     if not 0 <= reset <= 1:
         raise ValueError("reset must lie between 0 and 1")
-    weighted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
+    weighted = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")))
     out = weighted.groupBy("src").agg(
         F.sum("w").alias("out"), F.ceil(F.count(F.lit(1)) / slice_links).cast("int").alias("slices")
     )
     vertices = cut_lineage(
-        endpoints(edges)
+        endpoints(weighted)
         .join(out.withColumnRenamed("src", "id"), "id", "left")
         .withColumn("slices", F.coalesce("slices", F.lit(0)))
     )
-    links = cut_lineage(
-        weighted.join(out, "src")
-        .select("src", F.pmod(F.xxhash64("dst"), F.col("slices")).cast("int").alias("slice"), "dst", (F.col("w") / F.col("out")).alias("share"))
-        .repartition("src", "slice")
-    )
+    slice_ = F.pmod(F.xxhash64("dst"), F.col("slices")).cast("int").alias("slice")
+    share = (F.col("w") / F.col("out")).alias("share")
+    links = bucketed(weighted.join(out, "src").select("src", slice_, "dst", share), "src", "slice")
     ranks = vertices.withColumn("rank", F.lit(1.0))
     for round_no in range(1, max_rounds + 1):
         senders = ranks.where(F.col("slices") > 0).select(
@@ -140,13 +143,13 @@ def spread(vertices: DataFrame, edges: DataFrame, max_rounds: int = 30) -> DataF
     neighbours not reached yet; a vertex takes the smallest offer of its first
     round and keeps it.  Vertices never reached keep their own time.
     """
+    pairs = cut_lineage(edges.select("src", "dst").distinct())
     both = cut_lineage(
-        edges.select("src", "dst")
-        .unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         .where(F.col("src") != F.col("dst"))
         .distinct()
     )
-    known = cut_lineage(graph_vertices(edges, vertices, {"reached": False, "time": 0}))
+    known = cut_lineage(graph_vertices(pairs, vertices, {"reached": False, "time": 0}))
     front = known.where("reached").select("id", F.col("time").cast("long").alias("time"))
     visited = front
     for _ in range(max_rounds):
