@@ -1,0 +1,92 @@
+"""Graph jobs against known results and brute force."""
+
+from itertools import combinations
+
+import pytest
+from fixtures import EDGES
+from pyspark.sql import functions as F
+
+from loomwork.operators import graph
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    return spark.createDataFrame(EDGES, "src long, dst long")
+
+
+@pytest.fixture(scope="module")
+def vertices(spark):
+    return spark.range(40).select("id", (F.col("id") == 25).alias("reached"), F.lit(0).cast("long").alias("time"))
+
+
+def test_triangles(edges, vertices):
+    got = {r["id"]: r["triangles"] for r in graph.triangle_count(edges, vertices).collect()}
+    want = {3: 2, 4: 1, 5: 3, 6: 1, 7: 6, 9: 4, 13: 5, 14: 3, 15: 3, 16: 1, 17: 2, 18: 1, 19: 2, 20: 1, 21: 1, 22: 7, 23: 2, 24: 1, 27: 9, 29: 4, 36: 1}
+    assert got == {i: want.get(i, 0) for i in range(40)}
+    assert sum(got.values()) == 3 * 20
+
+
+def test_triangles_of_a_hub_with_loops_and_repeats(spark):
+    ids = range(12)
+    pairs = [(0, i) for i in ids] + [(i, 0) for i in ids] + [(i, i + 1) for i in range(1, 11)] + [(3, 3)]
+    links = {frozenset(p) for p in pairs if p[0] != p[1]}
+    want = dict.fromkeys(ids, 0)
+    for t in combinations(ids, 3):
+        if all(frozenset(p) in links for p in combinations(t, 2)):
+            for i in t:
+                want[i] += 1
+    out = graph.triangle_count(spark.createDataFrame(pairs, "src long, dst long"))
+    assert {r["id"]: r["triangles"] for r in out.collect()} == want
+
+
+def test_spread(edges, vertices):
+    got = {r["id"]: (r["reached"], r["time"]) for r in graph.spread(vertices, edges).collect()}
+    rounds = {
+        0: [25], 1: [14, 15, 35], 2: [0, 5, 7, 9, 10, 23, 24, 27],
+        3: [3, 4, 11, 12, 13, 16, 17, 18, 19, 22, 29, 38], 4: [1, 2, 6, 8, 26, 28, 37], 5: [39], 6: [31], 7: [32],
+    }
+    want = {i: (True, t) for t, ids in rounds.items() for i in ids}
+    assert got == {i: want.get(i, (False, 0)) for i in range(40)}
+
+
+def test_spread_is_by_round_not_by_least_time(spark):
+    # 1 starts at time 10 next to 2; 5 starts at 0, three links away from 2
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5)], "src long, dst long")
+    seeds = spark.createDataFrame([(1, True, 10), (5, True, 0), (9, False, 4)], "id long, reached boolean, time long")
+    got = {r["id"]: (r["reached"], r["time"]) for r in graph.spread(seeds, edges).collect()}
+    assert got == {1: (True, 10), 2: (True, 11), 3: (True, 2), 4: (True, 1), 5: (True, 0), 9: (False, 4)}
+    capped = {r["id"]: r["reached"] for r in graph.spread(seeds.where("id = 5"), edges, max_rounds=2).collect()}
+    assert capped == {1: False, 2: False, 3: True, 4: True, 5: True}
+
+
+def brute_ranks(pairs, reset, rounds):
+    ids = {i for p in pairs for i in p}
+    out = {i: sum(1 for s, _ in pairs if s == i) for i in ids}
+    rank = dict.fromkeys(ids, 1.0)
+    for _ in range(rounds):
+        sums = dict.fromkeys(ids, 0.0)
+        for s, d in pairs:
+            sums[d] += rank[s] / out[s]
+        rank = {i: reset + (1 - reset) * sums[i] for i in ids}
+    return rank
+
+
+@pytest.mark.parametrize("slice_links", [1, 3, 10**6])
+def test_pagerank_rounds(edges, slice_links):
+    out = graph.pagerank(edges, tolerance=None, max_rounds=6, slice_links=slice_links)
+    got = {r["id"]: r["rank"] for r in out.collect()}
+    assert got == pytest.approx(brute_ranks(EDGES, 0.15, 6))
+
+
+def test_pagerank_tolerance(edges):
+    got = {r["id"]: r["rank"] for r in graph.pagerank(edges, tolerance=1e-3).collect()}
+    assert got == pytest.approx(brute_ranks(EDGES, 0.15, 200), abs=5e-3)
+    with pytest.raises(ValueError):
+        graph.pagerank(edges, reset=1.1)
+
+
+def test_vertices_named_by_edges_get_defaults(spark, edges):
+    known = spark.createDataFrame([(0, "bob", None), (99, "eve", 1)], "id long, name string, n int")
+    out = {r["id"]: (r["name"], r["n"]) for r in graph.graph_vertices(edges, known, {"name": "none", "n": 0}).collect()}
+    assert out[0] == ("bob", None) and out[99] == ("eve", 1) and out[5] == ("none", 0)
+    assert len(out) == len({i for e in EDGES for i in e} | {99})
