@@ -200,8 +200,8 @@ def key_span(spark, sf_dir):
 
 
 METRICS_SQL = f"""with {SESSIONS},
-m as (select epoch_ms(session_start) as st, epoch_ms(session_end) as en, events,
-  (select epoch_ms(max(ts)) from events) as now from s),
+m as (select epoch_us(session_start) // 1000 as st, epoch_us(session_end) // 1000 as en, events,
+  (select epoch_us(max(ts)) // 1000 from events) as now from s),
 i as (select *, now - en as idle, en - st as len, now - en < 6 * {HOUR} as active from m),
 w as (select
   coalesce(sum(len) filter (active), 0) as TOTAL_SESSION_TIME,
@@ -234,7 +234,7 @@ def session_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir)[0]
 
 
-@query(METRICS_SQL + f""" select 'C.' || ({sessions.LARGEST_LONG} - (select epoch_ms(max(ts)) from events)) as row_key,
+@query(METRICS_SQL + f""" select 'C.' || ({sessions.LARGEST_LONG} - (select epoch_us(max(ts)) // 1000 from events)) as row_key,
   """ + ", ".join(f"cast({m} as bigint) as {m}" for m in sessions.METRICS) + " from w")
 def session_metric_record(spark, sf_dir):
     return sessions.metric_record(*_metrics(spark, sf_dir))

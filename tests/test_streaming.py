@@ -104,7 +104,8 @@ def test_window_drops_late_rows(spark, tmp_path):
     at = lambda s: T0 + datetime.timedelta(seconds=s)
     stream = event_stream(
         spark, tmp_path / "in",
-        [[("FB", at(12), 10.0), ("FB", at(3), 1.0)], [("FB", at(200), 5.0)], [("FB", at(201), 5.0), ("FB", at(4), 99.0)]],
+        # rows are held against the watermark of the batch before the last
+        [[("FB", at(12), 10.0), ("FB", at(3), 1.0)], [("FB", at(200), 5.0)], [("FB", at(201), 5.0)], [("FB", at(4), 99.0)]],
     ).withColumnRenamed("key", "ticker")
     report = windows.window_trades(stream, "t", price="v")
     out = ResultTable(report, "update", keys=["window_start", "window_end", "ticker"]).run().collect()
@@ -173,7 +174,8 @@ def test_sessions_close_behind_the_watermark(spark, tmp_path):
     batches = [
         [("a", at(0), 0.0), ("a", at(5), 0.0)],
         [("b", at(1000), 0.0)],
-        [("a", at(8), 0.0), ("b", at(1001), 0.0)],  # 8 s is far too late by now
+        [("b", at(1001), 0.0)],
+        [("a", at(8), 0.0)],  # far too late by now
         [("a", at(1100), 0.0)],
     ]
     stream = event_stream(spark, tmp_path / "in", batches)
