@@ -80,6 +80,36 @@ def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
     )
 
 
+def sliced(links: DataFrame, slice_links: int) -> tuple[DataFrame, DataFrame]:
+    """``links`` bucketed by ``(src, slice)``, and the ids whose links fill several slices.
+
+    A source with more than ``slice_links`` links has them spread over slices by
+    their other end, so no task gets all of them, and a bucketed table is joined
+    round after round without being moved.
+    """
+    counts = links.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > slice_links)
+    hubs = cut_lineage(
+        counts.select("src", F.ceil(F.col("n") / slice_links).cast("int").alias("slices"))
+    )
+    slices = F.coalesce("slices", F.lit(1))
+    placed = (
+        links.join(hubs, "src", "left")
+        .withColumn("slice", F.pmod(F.xxhash64("dst"), slices).cast("int"))
+        .drop("slices")
+    )
+    return bucketed(placed, "src", "slice"), hubs
+
+
+def fan_out(rows: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Copies of rows with ``src``, one per slice of that source's links."""
+    last = F.coalesce("slices", F.lit(1)) - 1
+    return (
+        rows.join(hubs, "src", "left")
+        .withColumn("slice", F.explode(F.sequence(F.lit(0), last)))
+        .drop("slices")
+    )
+
+
 def pagerank(
     edges: DataFrame,
     reset: float = 0.15,
@@ -91,51 +121,38 @@ def pagerank(
 
     Ranks start at 1 and are not normalised; parallel edges count each.  With a
     ``tolerance`` the loop ends when no rank moves by more, else after exactly
-    ``max_rounds``.  A vertex with many links has them in several slices, each
-    joined to a copy of its rank, so no task handles all of them.  The links are
-    bucketed once and do not move again; ranks and sums do.
+    ``max_rounds``.  Each round moves ranks and sums combined per mapper, never
+    the links.
     """
     if not 0 <= reset <= 1:
         raise ValueError("reset must lie between 0 and 1")
     weighted = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")))
-    out = weighted.groupBy("src").agg(
-        F.sum("w").alias("out"), F.ceil(F.count(F.lit(1)) / slice_links).cast("int").alias("slices")
-    )
-    vertices = cut_lineage(
-        endpoints(weighted)
-        .join(out.withColumnRenamed("src", "id"), "id", "left")
-        .withColumn("slices", F.coalesce("slices", F.lit(0)))
-    )
-    slice_ = F.pmod(F.xxhash64("dst"), F.col("slices")).cast("int").alias("slice")
-    share = (F.col("w") / F.col("out")).alias("share")
-    links = bucketed(weighted.join(out, "src").select("src", slice_, "dst", share), "src", "slice")
-    ranks = vertices.withColumn("rank", F.lit(1.0))
+    out = weighted.groupBy("src").agg(F.sum("w").alias("out"))
+    shares = weighted.join(out, "src").select("src", "dst", (F.col("w") / F.col("out")).alias("share"))
+    links, hubs = sliced(shares, slice_links)
+    ranks = cut_lineage(endpoints(weighted)).withColumn("rank", F.lit(1.0))
     for round_no in range(1, max_rounds + 1):
-        senders = ranks.where(F.col("slices") > 0).select(
-            F.col("id").alias("src"),
-            F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-            "rank",
-        )
+        senders = fan_out(ranks.withColumnRenamed("id", "src"), hubs)
         sums = (
             links.join(senders, ["src", "slice"])
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("rank") * F.col("share")).alias("_sum"))
         )
-        moved = ranks.join(sums, "id", "left").withColumn(
-            "_new", reset + (1 - reset) * F.coalesce("_sum", F.lit(0.0))
-        )
-        step = moved.select(
-            "id", "out", "slices", F.col("_new").alias("rank"), F.abs(F.col("_new") - F.col("rank")).alias("_moved")
+        new = reset + (1 - reset) * F.coalesce("_sum", F.lit(0.0))
+        step = ranks.join(sums, "id", "left").select(
+            "id", new.alias("rank"), F.abs(new - F.col("rank")).alias("_moved")
         )
         if tolerance is not None or round_no % CUT_EVERY == 0:
             step = cut_lineage(step)
         ranks = step.drop("_moved")
         if tolerance is not None and (step.agg(F.max("_moved")).first()[0] or 0) <= tolerance:
             break
-    return ranks.select("id", "rank")
+    return ranks
 
 
-def spread(vertices: DataFrame, edges: DataFrame, max_rounds: int = 30) -> DataFrame:
+def spread(
+    vertices: DataFrame, edges: DataFrame, max_rounds: int = 30, slice_links: int = SLICE_LINKS
+) -> DataFrame:
     """``(id, reached, time)`` of a state passed along edges in both directions.
 
     ``vertices`` has ``id``, ``reached`` and ``time`` (not negative).  Each round
@@ -144,17 +161,18 @@ def spread(vertices: DataFrame, edges: DataFrame, max_rounds: int = 30) -> DataF
     round and keeps it.  Vertices never reached keep their own time.
     """
     pairs = cut_lineage(edges.select("src", "dst").distinct())
-    both = cut_lineage(
+    both = (
         pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         .where(F.col("src") != F.col("dst"))
         .distinct()
     )
+    links, hubs = sliced(cut_lineage(both), slice_links)
     known = cut_lineage(graph_vertices(pairs, vertices, {"reached": False, "time": 0}))
     front = known.where("reached").select("id", F.col("time").cast("long").alias("time"))
     visited = front
     for _ in range(max_rounds):
         offers = (
-            both.join(front.withColumnRenamed("id", "src"), "src")
+            links.join(fan_out(front.withColumnRenamed("id", "src"), hubs), ["src", "slice"])
             .groupBy(F.col("dst").alias("id"))
             .agg((F.min("time") + 1).alias("time"))
         )

@@ -17,7 +17,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..storage import cut_lineage
 
 PAGE = "_page"
 GHOST = "_ghost"
@@ -45,28 +46,14 @@ def groups_are_small(df: DataFrame, group_by: Sequence[str], limit: int) -> bool
     return (sizes.agg(F.max("n")).first()[0] or 0) <= limit
 
 
-def _as_text(field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.TimestampType):
-        return F.unix_micros(field.name).cast("string")
-    return F.col(field.name).cast("string")
-
-
-def _sql_literal(text: str | None, dtype: T.DataType) -> str:
-    if text is None:
-        return f"CAST(NULL AS {dtype.simpleString()})"
-    if isinstance(dtype, T.TimestampType):
-        return f"timestamp_micros({text}L)"
-    quoted = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{quoted}' AS {dtype.simpleString()})"
-
-
-def page_borders(df: DataFrame, key: Sequence[str], pages: int) -> Column | None:
+def page_borders(df: DataFrame, key: Sequence[str], pages: int) -> Column:
     """Sorted array of at most ``pages - 1`` sort keys, each starting a new page.
 
-    Runs one job over the key columns.  Borders are quantiles of about
-    ``KEYS_PER_PAGE`` keys per page picked by hash, so pages are even however
-    the values cluster.  Which keys are picked affects the sizes of the pages
-    only, never a result.
+    Runs one job over the key columns and keeps the borders in the shared
+    folder, so every later reading of them, retries included, is the same.
+    Borders are quantiles of about ``KEYS_PER_PAGE`` keys per page picked by
+    hash: pages are even however the values cluster.  Which keys are picked
+    affects the sizes of the pages only, never a result.
     """
     keys = df.select(*key)
     step = keys.agg(
@@ -75,35 +62,23 @@ def page_borders(df: DataFrame, key: Sequence[str], pages: int) -> Column | None
     picked = keys.where(F.pmod(F.xxhash64(*key), step) == 0).distinct()
     # picked holds about pages * KEYS_PER_PAGE rows, so one task may sort it
     tile = F.ntile(pages).over(Window.orderBy(*key))
-    fields = [keys.schema[c] for c in key]
-    texts = [_as_text(f).alias(f"k{i}") for i, f in enumerate(fields)]
-    place = F.struct(*key)
     firsts = (
         picked.withColumn("_tile", tile)
         .groupBy("_tile")
-        .agg(F.min(place).alias("_k"))
+        .agg(F.min(F.struct(*key)).alias("_k"))
         .where(F.col("_tile") > 1)
-        .select("_tile", "_k.*")
-        .select("_tile", *texts)
-        .orderBy("_tile")
-        .drop("_tile")
-        .collect()
-    )
-    if not firsts:
-        return None
-    rows = (
-        "struct(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(row, fields)) + ")"
-        for row in firsts
+        .select("_k.*")
     )
-    return F.expr("array(" + ", ".join(rows) + ")")
+    borders = F.array_sort(F.collect_list(F.struct(*key)))
+    return cut_lineage(firsts.coalesce(1)).agg(borders).scalar()
 
 
 def with_page(df: DataFrame, key: Sequence[str], pages: int) -> DataFrame:
     """Add ``_page``, the number of page borders at or below the row's key."""
     out = df.withColumn(PAGE, F.lit(0))
-    borders = page_borders(df, key, pages) if pages > 1 else None
-    if borders is None:
+    if pages == 1:
         return out
+    borders = page_borders(df, key, pages)
     place = F.struct(*[F.col(c) for c in key])
     step = 1 << ((pages - 1).bit_length() - 1)
     while step:  # binary search, one halving per projection

@@ -39,8 +39,10 @@ def test_triangles_of_a_hub_with_loops_and_repeats(spark):
     assert {r["id"]: r["triangles"] for r in out.collect()} == want
 
 
-def test_spread(edges, vertices):
-    got = {r["id"]: (r["reached"], r["time"]) for r in graph.spread(vertices, edges).collect()}
+@pytest.mark.parametrize("slice_links", [2, 10**6])
+def test_spread(edges, vertices, slice_links):
+    out = graph.spread(vertices, edges, slice_links=slice_links)
+    got = {r["id"]: (r["reached"], r["time"]) for r in out.collect()}
     rounds = {
         0: [25], 1: [14, 15, 35], 2: [0, 5, 7, 9, 10, 23, 24, 27],
         3: [3, 4, 11, 12, 13, 16, 17, 18, 19, 22, 29, 38], 4: [1, 2, 6, 8, 26, 28, 37], 5: [39], 6: [31], 7: [32],
