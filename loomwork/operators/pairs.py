@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import cut_lineage
+
 BLOCK_ITEMS = 2_000  # items of one basket that meet in one task
 MAP_ENTRIES = 1_000_000  # entries of one map
 
@@ -25,8 +27,9 @@ def pair_counts(
     distinct items is cut into blocks by item hash, and block i meets block j
     in a place of its own, so a huge basket is the work of many tasks.
     """
-    items = df.where(F.col(item).isNotNull()).groupBy(basket, item).agg(
-        F.count(F.lit(1)).alias("n")
+    # read three times below: for the sizes and for both sides of the join
+    items = cut_lineage(
+        df.where(F.col(item).isNotNull()).groupBy(basket, item).agg(F.count(F.lit(1)).alias("n"))
     )
     large = (
         items.groupBy(basket)
@@ -41,10 +44,18 @@ def pair_counts(
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     )
     left = placed.select(
-        basket, F.col("_own").alias("_i"), F.col("_other").alias("_j"), F.col(item).alias("a"), F.col("n").alias("_na")
+        basket,
+        F.col("_own").alias("_i"),
+        F.col("_other").alias("_j"),
+        F.col(item).alias("a"),
+        F.col("n").alias("_na"),
     )
     right = placed.select(
-        basket, F.col("_other").alias("_i"), F.col("_own").alias("_j"), F.col(item).alias("b"), F.col("n").alias("_nb")
+        basket,
+        F.col("_other").alias("_i"),
+        F.col("_own").alias("_j"),
+        F.col(item).alias("b"),
+        F.col("n").alias("_nb"),
     )
     return (
         left.join(right, [basket, "_i", "_j"])
@@ -67,7 +78,7 @@ def pair_counts_nested(
     ``max_entries`` partners gets several segments, split by partner hash, so
     no single record grows with the data; all other items have segment 0.
     """
-    pairs = pair_counts(df, basket, item, block_items)
+    pairs = cut_lineage(pair_counts(df, basket, item, block_items))
     wide = (
         pairs.groupBy("a")
         .agg(F.count(F.lit(1)).alias("_size"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..storage import new_path
@@ -63,15 +65,24 @@ class ResultTable:
         self.start().awaitTermination()
         return self.read()
 
-    def read(self) -> DataFrame:
+    def _rows(self) -> DataFrame:
+        """Rows of all batches so far, also those of an earlier run on the same path."""
         if self.last is None:
-            rows = self.stream if self.transform is None else None
-            if rows is None:
-                raise ValueError("no batch has been written yet")
-            return self.spark.createDataFrame([], rows.schema)
+            try:
+                return self.spark.read.parquet(self.path)
+            except AnalysisException:
+                if self.transform:
+                    raise
+                batch = T.StructField(BATCH, T.IntegerType())
+                empty = T.StructType([*self.stream.schema.fields, batch])
+                return self.spark.createDataFrame([], empty)
+        return self.spark.read.parquet(self.path)
+
+    def read(self) -> DataFrame:
+        rows = self._rows()
         if self.mode == "complete":
-            return self.spark.read.parquet(f"{self.path}/{BATCH}={self.last}")
-        rows = self.spark.read.parquet(self.path)
+            newest = self.last if self.last is not None else rows.agg(F.max(BATCH)).first()[0]
+            return rows.where(F.col(BATCH) == newest).drop(BATCH)
         return latest_rows(rows, self.keys) if self.mode == "update" and self.keys else rows
 
 
@@ -82,7 +93,14 @@ def latest_rows(rows: DataFrame, keys: Sequence[str], version: str = BATCH) -> D
     return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")
 
 
-def console(stream: DataFrame, mode: str, interval: str = "5 seconds", rows: int = 20, truncate: bool = False, checkpoint: str | None = None) -> StreamingQuery:
+def console(
+    stream: DataFrame,
+    mode: str,
+    interval: str = "5 seconds",
+    rows: int = 20,
+    truncate: bool = False,
+    checkpoint: str | None = None,
+) -> StreamingQuery:
     """Print each batch on the driver, at most ``rows`` rows of it."""
     return (
         stream.writeStream.outputMode(mode)

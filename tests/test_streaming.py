@@ -79,6 +79,17 @@ def test_restart_from_checkpoint_goes_on(spark, tmp_path):
     ResultTable(counts.word_counts(lines), **args).run()
     (tmp_path / "in" / "9.txt").write_text("hi\n")
     assert ("hi", 4) in rows(ResultTable(counts.word_counts(lines), **args).run())
+    # a table opened again reads what is there, also when nothing new comes
+    assert ("hi", 4) in rows(ResultTable(counts.word_counts(lines), **args).run())
+    complete = {**args, "mode": "complete", "path": str(tmp_path / "c"), "checkpoint": str(tmp_path / "cs")}
+    first = rows(ResultTable(counts.word_counts(lines), **complete).run())
+    assert first == rows(ResultTable(counts.word_counts(lines), **complete).read())
+
+
+def test_table_without_batches_is_empty(spark, tmp_path):
+    lines = text_stream(spark, tmp_path / "in")
+    assert ResultTable(counts.word_counts(lines), "complete").run().columns == ["word", "n"]
+    assert ResultTable(counts.word_counts(lines), "update", keys=["word"]).run().count() == 0
 
 
 def test_entity_counts_are_polled_by_name(spark, tmp_path):
