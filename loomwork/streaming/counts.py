@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -12,6 +14,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions.parse import explode_tokens
 from .tables import BATCH, ResultTable
 
+# executors get the functions below with the plan and need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def word_counts(lines: DataFrame, column: str = "value", lower: bool = True) -> DataFrame:
     """Running ``(word, n)`` counts; counts are combined before the shuffle."""

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .tables import ResultTable
 
+# executors get the functions below with the plan and need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 STATE = "starts array<bigint>, ends array<bigint>, counts array<bigint>"
 
 

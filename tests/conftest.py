@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = local_session(
         "tests", 8, **{
+            "spark.sql.shuffle.partitions": "4",
             "spark.checkpoint.dir": str(shared),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         }

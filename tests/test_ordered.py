@@ -38,7 +38,7 @@ FRAMES = {
 
 
 @pytest.mark.parametrize("group_by", [[], ["g"]])
-@pytest.mark.parametrize("pages", [1, 2, 7, 150])
+@pytest.mark.parametrize("pages", [1, 2, 7, 60])
 def test_frames(skewed, group_by, pages):
     order = ["ts", "tie"]
     got = ordered.ordered_frame(
@@ -76,8 +76,8 @@ def test_any_key_type(spark, dtype):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("pages", [1, 3, 50])
-@pytest.mark.parametrize("gap", [0, 1, 5, 1000])
+@pytest.mark.parametrize("pages", [1, 3, 40])
+@pytest.mark.parametrize("gap", [0, 5, 1000])
 def test_sessions_equal_brute_force(skewed, pages, gap):
     times = {}
     for r in skewed.collect():
@@ -97,7 +97,7 @@ def test_sessions_equal_brute_force(skewed, pages, gap):
         assert rows(got.select("g", "session_start", "session_end", "events", "length")) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("pages", [1, 4, 100])
+@pytest.mark.parametrize("pages", [1, 4, 40])
 @pytest.mark.parametrize("page", [None, "g"])
 def test_dedup_adjacent(skewed, pages, page):
     got = setops.dedup_adjacent(skewed, ["ts", "tie"], "v", page=page, pages=pages)
