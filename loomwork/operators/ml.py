@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
@@ -49,10 +49,18 @@ MODELS: dict[str, Callable[[], Estimator]] = {
 }
 
 
-def split(df: DataFrame, fraction: float, row_id: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """The first part trains, the second tests.  A row's place follows from its id alone."""
-    place = F.pmod(F.xxhash64(*row_id), F.lit(10_000)) < int(fraction * 10_000)
-    return df.where(place), df.where(~place)
+PLACES = 10_000
+
+
+def hash_place(*row_id: str) -> Column:
+    """A place in ``0..PLACES-1`` that follows from the row's id alone."""
+    return F.pmod(F.xxhash64(*row_id), F.lit(PLACES))
+
+
+def split(df: DataFrame, fraction: float, place: Column) -> tuple[DataFrame, DataFrame]:
+    """The first part, of about ``fraction`` of the places, trains; the second tests."""
+    first = place < int(fraction * PLACES)
+    return df.where(first), df.where(~first)
 
 
 def evaluate(model: Model, test: DataFrame) -> tuple[str, float]:
@@ -65,13 +73,14 @@ def evaluate(model: Model, test: DataFrame) -> tuple[str, float]:
 
 
 def compare(
-    df: DataFrame, row_id: Sequence[str], fraction: float = 0.7, models: Sequence[str] = tuple(MODELS)
+    df: DataFrame, place: Column, fraction: float = 0.7, models: Sequence[str] = tuple(MODELS)
 ) -> DataFrame:
-    """``(model, metric, value)`` per model; the input has ``label``, ``features`` and an id.
+    """``(model, metric, value)`` per model; the input has ``label``, ``features`` and
+    what ``place`` is computed from.
 
     Both parts are cached across the models; a lost cache block is recomputed.
     """
-    train, test = (part.select("label", "features").cache() for part in split(df, fraction, row_id))
+    train, test = (part.select("label", "features").cache() for part in split(df, fraction, place))
     try:
         rows = [(name, *evaluate(MODELS[name]().fit(train), test)) for name in models]
     finally:

@@ -57,4 +57,6 @@ def bucketed(df: DataFrame, *columns: str, buckets: int | None = None) -> DataFr
         .option("path", new_path(spark, "buckets"))
         .saveAsTable(name)
     )
-    return spark.table(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalog entry only; the files and their layout stay
+    return table

@@ -309,10 +309,10 @@ def test_passenger_features(spark):
 def test_models_learn(spark):
     rows_ = spark.range(600).select("id", (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 2 * 5).cast("double").alias("x"), (F.col("id") % 13).cast("double").alias("y"))
     df = features.with_vector(rows_, ("x", "y"), ("id", "label"))
-    train, test = ml.split(df, 0.7, ["id"])
+    train, test = ml.split(df, 0.7, ml.hash_place("id"))
     assert train.count() + test.count() == 600 and 350 < train.count() < 490
     assert train.join(test, "id").count() == 0
-    got = {r["model"]: (r["metric"], r["value"]) for r in ml.compare(df, ["id"]).collect()}
+    got = {r["model"]: (r["metric"], r["value"]) for r in ml.compare(df, ml.hash_place("id")).collect()}
     assert set(got) == set(ml.MODELS)
     for name, (metric, value) in got.items():
         if metric == "accuracy":

@@ -73,6 +73,17 @@ def test_repeated_batch_overwrites_itself(spark, tmp_path):
     assert rows(table.read()) == first
 
 
+def test_text_batches(spark, tmp_path):
+    from loomwork.sources.sinks import text_batches
+
+    lines = text_stream(spark, tmp_path / "in", *LINES)
+    out = str(tmp_path / "out")
+    stream = lines.writeStream.option("checkpointLocation", str(tmp_path / "cp"))
+    stream.trigger(availableNow=True).foreachBatch(text_batches(out)).start().awaitTermination()
+    text_batches(out)(spark.createDataFrame([("hi bob",), ("Hi ",)], "value string"), 1)
+    assert rows(spark.read.text(out)) == [("Hi ", 1), ("hi bob", 1), ("hi there", 0)]
+
+
 def test_restart_from_checkpoint_goes_on(spark, tmp_path):
     lines = text_stream(spark, tmp_path / "in", *LINES)
     args = dict(mode="update", keys=["word"], path=str(tmp_path / "out"), checkpoint=str(tmp_path / "state"))
