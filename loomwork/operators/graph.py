@@ -130,7 +130,8 @@ def pagerank(
     out = weighted.groupBy("src").agg(F.sum("w").alias("out"))
     shares = weighted.join(out, "src").select("src", "dst", (F.col("w") / F.col("out")).alias("share"))
     links, hubs = sliced(shares, slice_links)
-    ranks = cut_lineage(endpoints(weighted)).withColumn("rank", F.lit(1.0))
+    ids = cut_lineage(endpoints(weighted))
+    ranks = ids.withColumn("rank", F.lit(1.0))
     for round_no in range(1, max_rounds + 1):
         senders = fan_out(ranks.withColumnRenamed("id", "src"), hubs)
         sums = (
@@ -139,13 +140,17 @@ def pagerank(
             .agg(F.sum(F.col("rank") * F.col("share")).alias("_sum"))
         )
         new = reset + (1 - reset) * F.coalesce("_sum", F.lit(0.0))
-        step = ranks.join(sums, "id", "left").select(
-            "id", new.alias("rank"), F.abs(new - F.col("rank")).alias("_moved")
-        )
-        if tolerance is not None or round_no % CUT_EVERY == 0:
-            step = cut_lineage(step)
+        if tolerance is None:
+            # from the ids, not from the old ranks: a plan that used the ranks
+            # twice would double with every round
+            ranks = ids.join(sums, "id", "left").select("id", new.alias("rank"))
+            if round_no % CUT_EVERY == 0:
+                ranks = cut_lineage(ranks)
+            continue
+        moved = F.abs(new - F.col("rank")).alias("_moved")
+        step = cut_lineage(ranks.join(sums, "id", "left").select("id", new.alias("rank"), moved))
         ranks = step.drop("_moved")
-        if tolerance is not None and (step.agg(F.max("_moved")).first()[0] or 0) <= tolerance:
+        if (step.agg(F.max("_moved")).first()[0] or 0) <= tolerance:
             break
     return ranks
 
