@@ -2,15 +2,31 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality_rules, simhash, token_files
+
+TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark, sf_dir):
+    """Base measures, lines failed by each rule, and verdict of every document."""
+    return quality_rules.measure(_table(spark, sf_dir, "documents"))
+
+
+def op2_token_files(spark, sf_dir):
+    """Every document's place, size and check sum, from files of directly addressable codes."""
+    docs = _table(spark, sf_dir, "documents")
+    read = token_files.round_trip(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op7_simhash(spark, sf_dir):
     """Component of every document over fingerprints at most three bits apart."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -18,6 +34,49 @@ def op7_simhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
+    "op2_token_files": op2_token_files,
     "op7_simhash": op7_simhash,
 }
-ORACLES = {}
+
+_WHITE = r"[ \t\n\x0B\f\r]"
+_RULES = quality_rules.Rules()
+
+# Words, lines and windows as lists; a word is covered when one of the windows
+# that hold it is found twice or more in its text.
+_QUALITY_SQL = f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+w as (select r, list_filter(regexp_split_to_array(text, '{_WHITE}+'), lambda x: x <> '') as ws from d),
+runs as (select r, i, array_to_string(list_slice(ws, i, i + {_RULES.window - 1}), ' ') as run
+  from (select r, ws, unnest(range(1, len(ws) - {_RULES.window - 2})) as i from w where len(ws) > {_RULES.window})),
+often as (select r, i from (select r, i, count(*) over (partition by r, run) as n from runs) where n > 1),
+rep as (select r, count(distinct i + k) as n_repeat from often, range({_RULES.window}) t(k) group by r),
+lines as (select r, i, ls[i] as line from (select r, ls, unnest(range(1, len(ls) + 1)) as i
+  from (select r, string_split(text, chr(10)) as ls from d))),
+facts as (select r, line,
+  row_number() over (partition by r, line order by i) > 1 and regexp_matches(line, '[^ \\t\\x0B\\f\\r]') as dup,
+  length(regexp_replace(line, '{_WHITE}', '', 'g')) as chars,
+  length(line) - length(regexp_replace(line, '{quality_rules.PUNCTUATION}', '', 'g')) as marks,
+  length(line) - length(replace(line, '|', '')) as bars,
+  list_filter(regexp_split_to_array(line, '{_WHITE}+'), lambda x: x <> '') as ws,
+  regexp_matches(lower(line), '{quality_rules.BOILERPLATE}') as phrase from lines),
+judged as (select *, case
+  when marks >= {_RULES.min_punctuation} and 100 * marks > {_RULES.max_punctuation} * chars then 'p'
+  when bars >= {_RULES.min_bars} and 100 * bars > {_RULES.max_bars} * len(ws) then 'n'
+  when phrase and len(ws) <= {_RULES.boilerplate_words} then 'b'
+  when stutter >= {_RULES.min_stutter} and 2 * stutter > len(ws) then 'b' end as failed
+  from (select *, len(list_filter(range(1, len(ws)), lambda i: ws[i] = ws[i + 1])) as stutter from facts)),
+per as (select r, count(*) filter (dup) as n_dup_lines,
+  coalesce(sum(chars) filter (failed is not null), 0)::bigint as lost_chars,
+  count(*) filter (failed = 'p') as n_punctuation_lines, count(*) filter (failed = 'n') as n_navigation_lines,
+  count(*) filter (failed = 'b') as n_boilerplate_lines from judged group by r),
+m as (select doc_id, len(ws)::bigint as n_words,
+  length(regexp_replace(text, '{_WHITE}', '', 'g'))::bigint as word_chars,
+  (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+  coalesce(n_repeat, 0)::bigint as n_repeat_words, per.* exclude (r)
+  from d join w using (r) join per using (r) left join rep using (r))
+select *, not base_failed and 100 * lost_chars <= {_RULES.max_loss} * word_chars as kept
+from (select *, n_words < {_RULES.min_words} or 100 * n_repeat_words > {_RULES.max_repeat} * n_words as base_failed from m)
+"""
+
+ORACLES = {"op1_quality_rules": _QUALITY_SQL}

@@ -1,0 +1,104 @@
+"""Exact round trips of the code, the file and the query."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from loomwork.llm import token_files as tf
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PLAIN = Tokenizer.from_file(PATH)
+
+
+def file_of(ids, widths=tf.WIDTHS):
+    out = pa.BufferOutputStream()
+    tf.write_file(out, [1], np.array([0, len(ids)]), ids, widths)
+    return tf.TokenFile(pa.BufferReader(out.getvalue()))
+
+
+@pytest.mark.parametrize("widths", [(8, 8, 16), (4, 12, 16), (16, 16), (32,)])
+@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
+def test_code(widths, n):
+    r = random.Random(n)
+    ids = np.array([r.choice([0, 1, 255, 256, 50256, 65535, 65536, 2**32 - 1]) for _ in range(n)], np.uint32)
+    file = file_of(ids, widths)
+    assert np.array_equal(file.tokens(0, n), ids)
+    for _ in range(20):
+        lo = r.randint(0, n)
+        hi = r.randint(lo, min(n, lo + 600))
+        assert np.array_equal(file.tokens(lo, hi), ids[lo:hi])
+
+
+def test_code_too_narrow():
+    with pytest.raises(ValueError):
+        tf.encode_levels(np.array([65536], np.uint32), (8, 8))
+
+
+def test_one_token_reads_little():
+    ids = np.arange(500_000, dtype=np.uint32)
+    file, read = file_of(ids), []
+    inner = file.file
+
+    class Counting:
+        def read_at(self, n, at):
+            read.append(n)
+            return inner.read_at(n, at)
+
+    file.file = Counting()
+    assert file.tokens(400_123, 400_124).tolist() == [400_123]
+    assert sum(read) < 1000
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list(" \n\t\r\x1c\x85  ab1é.,'$_日́​😀|<>")), max_size=40), min_size=1, max_size=5))
+def test_pieces_equal_whole_texts(texts):
+    flat, n = tf.encoder_of(PATH).encode(texts)
+    want = [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == want
+
+
+def test_forgetful_encoder():
+    e = tf.PieceEncoder(PATH, remember=3)
+    for text in ("one two three four five", "one <|endoftext|> two", "six"):
+        flat, _ = e.encode([text])
+        assert flat.tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+
+
+ROWS = [(3, "some text", 1), (None, "no id", 2), (2, None, 3), (2, "", 4), (7, "x " * 30_000, 5), (7, "same", 6), (7, "same", 7)]
+
+
+@pytest.mark.parametrize("file_tokens", [5, 8_000_000])
+def test_round_trip(spark, file_tokens):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string, start long")
+    rows = tf.round_trip(df, PATH, layout=tf.Layout(file_tokens=file_tokens)).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None, 2, 2, 3, 7, 7, 7]
+    start = 0
+    for r in rows:
+        ids = np.frombuffer(r.ids, "<u4").tolist()
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(r.ids))
+        start += len(ids)
+    want = sorted([*PLAIN.encode(t or "", add_special_tokens=False).ids, 0] for _, t, _ in ROWS)
+    assert sorted(np.frombuffer(r.ids, "<u4").tolist() for r in rows) == want
+
+
+def test_empty(spark):
+    assert tf.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_query(spark, sf_dir):
+    from loomwork.llm.queries import op2_token_files
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    want, start = [], 0
+    for d in sorted(docs, key=lambda d: d.doc_id):
+        ids = [*PLAIN.encode(d.text or "", add_special_tokens=False).ids, 0]
+        want.append((d.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, op2_token_files(spark, sf_dir).collect())) == want
