@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import quality_rules, simhash, token_files
+from . import decontaminate, quality_rules, simhash, token_files
 
 TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
 
@@ -33,10 +33,16 @@ def op7_simhash(spark, sf_dir):
     return groups.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op10_decontaminate(spark, sf_dir):
+    """Benchmark passages in every document, and whether they contaminate it."""
+    return decontaminate.inspect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_files": op2_token_files,
     "op7_simhash": op7_simhash,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 _WHITE = r"[ \t\n\x0B\f\r]"
@@ -79,4 +85,32 @@ select *, not base_failed and 100 * lost_chars <= {_RULES.max_loss} * word_chars
 from (select *, n_words < {_RULES.min_words} or 100 * n_repeat_words > {_RULES.max_repeat} * n_words as base_failed from m)
 """
 
-ORACLES = {"op1_quality_rules": _QUALITY_SQL}
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_PLAIN = r"[\x01-\x2F\x3A-\x60\x7B-\x7F]+"
+_RULE = decontaminate.Rule()
+
+# Item windows joined with document windows of the same length.
+_BENCHMARK_SQL = f"""
+with d as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}'), '{_PLAIN}'), lambda x: x <> '') as ws from documents),
+b as (select item_id, ws, least(len(ws), {_RULE.window}) as k from (select item_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}'), '{_PLAIN}'), lambda x: x <> '') as ws from benchmark)
+  where len(ws) > 0),
+iw as (select distinct item_id, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') as win
+  from (select *, unnest(range(1, len(ws) - k + 2)) as i from b)),
+dw as (select r, i, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') as win
+  from (select r, ws, k, unnest(range(1, len(ws) - k + 2)) as i from d, (select distinct k from iw) where len(ws) >= k)),
+occ as (select r, i, k, item_id from dw join iw using (k, win)),
+hits as (select r, count(distinct i + j) as n_hit from occ, range({_RULE.window}) t(j) where j < k group by r),
+found as (select r, count(distinct item_id) as n_items,
+  sha256(array_to_string(list_sort(list(distinct item_id::varchar)), ',')) as items_sha256 from occ group by r),
+runs as (select r, min(i) - 1 as s, max(i + k) - min(i) as n from (select r, i, k,
+    i - row_number() over (partition by r order by i) as g from (select r, i, max(k) as k from occ group by r, i)) group by r, g),
+best as (select r, n, s from (select *, row_number() over (partition by r order by n desc, s) as p from runs) where p = 1),
+m as (select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n, 0)::bigint as longest_match, coalesce(s, -1)::bigint as longest_at
+  from d left join hits using (r) left join found using (r) left join best using (r))
+select *, n_hit > 0 and {_RULE.share} * n_hit >= n_words as contaminated from m
+"""
+
+ORACLES = {"op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
