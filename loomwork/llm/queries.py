@@ -6,9 +6,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, simhash, token_files
+from . import decontaminate, mixing, quality_rules, simhash, token_files
 
-TOKENIZERS = os.environ.get("TOKENIZER_FILES", "/opt/tokenizers")
+TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
 
 def _table(spark, sf_dir, name):
@@ -22,11 +22,15 @@ def op1_quality_rules(spark, sf_dir):
 
 def op2_token_files(spark, sf_dir):
     """Every document's place, size and check sum, from files of directly addressable codes."""
-    docs = _table(spark, sf_dir, "documents")
-    read = token_files.round_trip(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    read = token_files.round_trip(_table(spark, sf_dir, "documents"), TOKENIZER)
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_mixing(spark, sf_dir):
+    """Words that a mix of all sources takes of every document."""
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark, sf_dir):
     """Component of every document over fingerprints at most three bits apart."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -41,6 +45,7 @@ def op10_decontaminate(spark, sf_dir):
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_files": op2_token_files,
+    "op3_mixing": op3_mixing,
     "op7_simhash": op7_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
@@ -113,4 +118,25 @@ m as (select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n
 select *, n_hit > 0 and {_RULE.share} * n_hit >= n_words as contaminated from m
 """
 
-ORACLES = {"op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
+_MIX = mixing.Mix()
+
+# Water-filling, then one running sum over each source in the order of the hash.
+_MIX_SQL = f"""
+with d as (select doc_id, source, md5('{_MIX.seed}:' || coalesce(doc_id::varchar, '')) as h,
+  len(list_filter(regexp_split_to_array(coalesce(text, ''), '{_WHITE}+'), lambda x: x <> ''))::bigint as size from documents),
+s as (select source, sum(size)::bigint as source_size from d group by source),
+w as (select *, {_MIX.max_epochs} * source_size as cap, ([{", ".join(map(str, _MIX.weights))}])[
+    (row_number() over (order by source nulls last) - 1) % {len(_MIX.weights)} + 1] as w,
+  sum(source_size) over () * {_MIX.percent} / 100.0::double as total from s),
+l as (select *, cap / w::double as room from w),
+v as (select *, (total - coalesce(sum(cap) over (order by room, source nulls last rows between unbounded preceding and 1 preceding), 0))
+  / sum(w) over (order by room, source nulls last rows between current row and unbounded following) as level from l),
+t as (select source, source_size, coalesce(least(cap::double, w * (select min_by(level, room) from v where level < room)), cap::double) as target from v),
+e as (select *, coalesce(floor(target / nullif(source_size, 0)), 0)::bigint as whole from t),
+r as (select doc_id, size, source_size, target, whole, round(target - whole * source_size)::bigint as extra,
+  coalesce(sum(size) over (partition by d.source order by h, size rows between unbounded preceding and 1 preceding), 0) as before
+  from d join e on d.source is not distinct from e.source)
+select doc_id, size, source_size, target, (whole * size + greatest(0, least(extra - before, size)))::bigint as taken from r
+"""
+
+ORACLES = {"op3_mixing": _MIX_SQL, "op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
