@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_rules, simhash, token_files
+from . import decontaminate, extraction, mixing, quality_rules, simhash, token_files
 
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
@@ -31,6 +31,11 @@ def op3_mixing(spark, sf_dir):
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op4_extraction(spark, sf_dir):
+    """Main text of every page."""
+    return extraction.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark, sf_dir):
     """Component of every document over fingerprints at most three bits apart."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -46,6 +51,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
+    "op4_extraction": op4_extraction,
     "op7_simhash": op7_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
