@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..storage import cut_lineage, new_path
-from .texts import as_bytes, pieces
+from .texts import pieces
 
 # The file format.
 MAGIC = b"DACTOK01"
@@ -138,10 +138,24 @@ class TokenFile:
 # A space before one of these begins a new pre-token of the byte-level pattern,
 # whatever stands before it, so texts can be cut there and put together there.
 _CUT = regex.compile(r" (?=[\p{L}\p{N}\p{P}\p{S}])")
-_ODD_SPACE = regex.compile(r" (?![\p{L}\p{N}\p{P}\p{S}])")
+_PLAIN = regex.compile(r"[\p{L}\p{N}\p{P}\p{S}]")
 _FIRST = "\0"  # marks the beginning of a text, which has no space before it
 
 
+class _Places(dict):
+    """Numbers pieces in the order of their coming."""
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.count = 0
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = place = self.count
+        self.count += 1
+        self.new.append(piece)
+        return place
+
+
 class PieceEncoder:
     """Encodes texts with a byte-level tokenizer, each distinct piece once.
 
@@ -149,7 +163,7 @@ class PieceEncoder:
     until there are ``remember`` of them; then it starts afresh.
     """
 
-    def __init__(self, path: str, remember: int = 400_000, joined_chars: int = 1 << 10):
+    def __init__(self, path: str, remember: int = 1_000_000, joined_chars: int = 1 << 10):
         self.tokenizer = Tokenizer.from_file(path)
         self.remember, self.joined_chars = remember, joined_chars
         vocabulary = self.tokenizer.get_vocab()  # a character of a token is a byte of text
@@ -159,7 +173,7 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places()
         self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _tokens(self, texts: list[str]) -> list[list[int]]:
@@ -167,20 +181,26 @@ class PieceEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Encode new pieces: those after a space together, cut apart by their bytes."""
-        inner = [p for p in new if not p.startswith(_FIRST)]
-        first = [p for p in new if p.startswith(_FIRST)]
+        at_first = np.fromiter((p[:1] == _FIRST for p in new), bool, len(new))
+        inner = [p for p in new if p[:1] != _FIRST]
         per = max(1, self.joined_chars * len(inner) // max(1, sum(map(len, inner))))
         joined = [" " + " ".join(inner[i : i + per]) for i in range(0, len(inner), per)]
         ids = np.fromiter(chain.from_iterable(self._tokens(joined)), np.uint32)
-        piece_ends = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in inner), np.int64, len(inner)))
+        piece_ends = np.cumsum(np.fromiter(map(len, map(str.encode, inner)), np.int64, len(inner)) + 1)
         token_ends = np.cumsum(self.token_bytes[ids])
         places = np.searchsorted(token_ends, piece_ends)
         if len(inner) and not np.array_equal(token_ends[places], piece_ends):
             raise ValueError("a token reaches over two pieces: not a byte-level tokenizer")
-        alone = self._tokens([p.removeprefix(_FIRST) for p in first])
-        self.place.update(zip(inner + first, range(len(self.place), len(self.place) + len(new))))
-        self.sizes = np.concatenate([self.sizes, np.diff(places + 1, prepend=0), [len(e) for e in alone]]).astype(np.int64)
-        self.ids = np.concatenate([self.ids, ids, np.fromiter(chain.from_iterable(alone), np.uint32)])
+        alone = self._tokens([p.removeprefix(_FIRST) for p in new if p[:1] == _FIRST])
+        sizes = np.zeros(len(new), np.int64)
+        sizes[~at_first], sizes[at_first] = np.diff(places + 1, prepend=0), [len(e) for e in alone]
+        both = np.zeros(sizes.sum(), np.uint32)
+        from_alone = np.repeat(at_first, sizes)
+        both[~from_alone], both[from_alone] = ids, np.fromiter(chain.from_iterable(alone), np.uint32)
+        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, both])
+
+    def _number(self, cut: list[list[str]]) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and how many each has."""
@@ -188,21 +208,41 @@ class PieceEncoder:
             self._forget()
         cut = []
         for text in texts:
-            parts = _CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
+            parts = text.split(" ")
             parts[0] = _FIRST + parts[0]
             cut.append(parts)
-        new = set().union(*cut).difference(self.place)
-        if new:
-            self._learn(sorted(new))
-        total = sum(map(len, cut))
-        used = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, total)
-        n = self.sizes[used]
-        ends = np.cumsum(n)
+        used = self._number(cut)
+        if self.place.new:
+            odd = {p for p in self.place.new if not (p[:1].isalpha() or p[:1] == _FIRST or _PLAIN.match(p))}
+            if odd:  # spaces that don't begin a piece; these are never remembered
+                cut = [p if odd.isdisjoint(p) else self._cut_with_care(t) for t, p in zip(texts, cut)]
+                self.place.new = [p for p in self.place.new if p not in odd]
+                for piece in odd:
+                    del self.place[piece]
+                self._renumber()
+                used = self._number(cut)
+            self._learn(self.place.new)
+            self.place.new = []
+        sizes = self.sizes[used]
+        ends = np.cumsum(sizes)
         begins = (np.cumsum(self.sizes) - self.sizes)[used]
-        flat = self.ids[np.repeat(begins - (ends - n), n) + np.arange(n.sum())]
+        flat = self.ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(sizes.sum())]
         text_ends = np.concatenate([[0], ends])[np.cumsum([len(parts) for parts in cut])]
         return flat, np.diff(text_ends, prepend=0)
 
+    @staticmethod
+    def _cut_with_care(text: str) -> list[str]:
+        parts = _CUT.split(text)
+        parts[0] = _FIRST + parts[0]
+        return parts
+
+    def _renumber(self) -> None:
+        """Close the gaps that pieces taken out have left among the new ones."""
+        self.place.count = len(self.sizes)
+        for piece in self.place.new:
+            self.place[piece] = self.place.count
+            self.place.count += 1
+
 
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> PieceEncoder:
@@ -266,7 +306,7 @@ def write_tokens(
         held = 0
         for batch in batches:
             for some in pieces(batch, 512):
-                flat, n = encoder.encode([t.decode() for t in as_bytes(some.column(1))])
+                flat, n = encoder.encode(some.column(1).to_pylist())
                 with_end = np.insert(flat, np.cumsum(n), layout.end_id)
                 ids += some.column(0).to_pylist()
                 tokens.append(with_end)
