@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, mixing, quality_rules, simhash, token_files
+from . import decontaminate, extraction, mixing, quality_rules, simhash, token_files, warc
 
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
@@ -36,6 +36,11 @@ def op4_extraction(spark, sf_dir):
     return extraction.extract(_table(spark, sf_dir, "pages"))
 
 
+def op6_warc(spark, sf_dir):
+    """What the archives say of every page, after writing them and reading them back."""
+    return warc.archive_and_read(_table(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark, sf_dir):
     """Component of every document over fingerprints at most three bits apart."""
     groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
@@ -52,6 +57,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op4_extraction": op4_extraction,
+    "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
@@ -145,4 +151,15 @@ r as (select doc_id, size, source_size, target, whole, round(target - whole * so
 select doc_id, size, source_size, target, (whole * size + greatest(0, least(extra - before, size)))::bigint as taken from r
 """
 
-ORACLES = {"op3_mixing": _MIX_SQL, "op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
+# Base32 of the 40 hexadecimal digits of SHA-1: five of them are four characters.
+_WARC_SQL = """
+with p as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as h from pages),
+f as (select h, min(page_id) as first from p group by h)
+select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + ((('0x' || h[i // 4 * 5 + 1 : i // 4 * 5 + 5])::bigint >> (15 - i % 4 * 5)) & 31)]), '') as payload_digest,
+  case when page_id is not distinct from first then 'response' else 'revisit' end as record_type,
+  case when page_id is distinct from first then first end as refers_to
+from p join f using (h)
+"""
+
+ORACLES = {"op6_warc": _WARC_SQL, "op3_mixing": _MIX_SQL, "op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
