@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, mixing, quality_rules, simhash, token_files, warc
+from . import decontaminate, extraction, licenses, mixing, quality_rules, simhash, token_files, warc
 
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
@@ -47,6 +47,11 @@ def op7_simhash(spark, sf_dir):
     return groups.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op9_licenses(spark, sf_dir):
+    """License texts in every document."""
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_decontaminate(spark, sf_dir):
     """Benchmark passages in every document, and whether they contaminate it."""
     return decontaminate.inspect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_extraction": op4_extraction,
     "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
+    "op9_licenses": op9_licenses,
     "op10_decontaminate": op10_decontaminate,
 }
 
