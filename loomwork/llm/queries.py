@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, licenses, mixing, quality_rules, simhash, token_files, warc
+from . import decontaminate, extraction, licenses, mixing, passages, quality_rules, simhash, token_files, warc
 
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
@@ -47,6 +47,12 @@ def op7_simhash(spark, sf_dir):
     return groups.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op8_passages(spark, sf_dir):
+    """Quality of every document by a model of its passages."""
+    docs = _table(spark, sf_dir, "documents")
+    return passages.predict(docs, passages.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_licenses(spark, sf_dir):
     """License texts in every document."""
     return licenses.scan(_table(spark, sf_dir, "documents"))
@@ -64,6 +70,7 @@ QUERIES = {
     "op4_extraction": op4_extraction,
     "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
+    "op8_passages": op8_passages,
     "op9_licenses": op9_licenses,
     "op10_decontaminate": op10_decontaminate,
 }
