@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, licenses, mixing, passages, quality_rules, simhash, token_files, warc
+from . import decontaminate, extraction, licenses, lm_scoring, mixing, passages, quality_rules, simhash, token_files, warc
 
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
@@ -36,6 +36,14 @@ def op4_extraction(spark, sf_dir):
     return extraction.extract(_table(spark, sf_dir, "pages"))
 
 
+def op5_lm_scoring(spark, sf_dir):
+    """Cross-entropy difference of every document: good documents as target, all as background."""
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    rows = lm_scoring.difference(_table(spark, sf_dir, "documents"), good)
+    exact = [F.round(c, 6).alias(c) for c in ("target_loss", "background_loss", "score")]  # sums depend on their order
+    return rows.select("doc_id", "n_tokens", *exact)
+
+
 def op6_warc(spark, sf_dir):
     """What the archives say of every page, after writing them and reading them back."""
     return warc.archive_and_read(_table(spark, sf_dir, "pages"))
@@ -68,6 +76,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_mixing": op3_mixing,
     "op4_extraction": op4_extraction,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op8_passages": op8_passages,
@@ -175,4 +184,24 @@ select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda
 from p join f using (h)
 """
 
-ORACLES = {"op6_warc": _WARC_SQL, "op3_mixing": _MIX_SQL, "op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
+_LM = lm_scoring.Settings()
+
+# Counts of words and of pairs, joined back to every word; '' stands before a text.
+_LM_SQL = f"""
+with d as (select row_number() over () as r, doc_id, (doc_id in (select doc_id from labels where quality = 1))::int as t,
+  list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}'), '{_WHITE}+'), lambda x: x <> '') as ws from documents),
+w as (select r, t, ws[i] as w, case when i > 1 then ws[i - 1] else '' end as v from (select *, unnest(range(1, len(ws) + 1)) as i from d)),
+n as (select count(*) as nb, coalesce(sum(t), 0) as nt from w),
+one as (select w, sum(t) as ct, count(*) as cb from w group by w),
+context as (select w as v, ct, cb from one union all select '', sum(t), count(*) from d where len(ws) > 0),
+pair as (select v, w, sum(t) as ct, count(*) as cb from w group by v, w),
+p as (select pair.*, one.cb / greatest(1, nb) as pb, (one.ct + {_LM.unigram_prior} * (one.cb / greatest(1, nb))) / (nt + {_LM.unigram_prior}) as pt
+  from pair join one using (w), n),
+loss as (select p.v, p.w, -ln((p.ct + {_LM.prior} * pt) / (context.ct + {_LM.prior})) as lt,
+  -ln((p.cb + {_LM.prior} * pb) / (context.cb + {_LM.prior})) as lb from p join context using (v)),
+s as (select r, avg(lt) as lt, avg(lb) as lb from w join loss using (v, w) group by r)
+select doc_id, len(ws)::bigint as n_tokens, round(coalesce(lt, 0), 6) as target_loss, round(coalesce(lb, 0), 6) as background_loss,
+  round(coalesce(lt - lb, 0), 6) as score from d left join s using (r)
+"""
+
+ORACLES = {"op5_lm_scoring": _LM_SQL, "op6_warc": _WARC_SQL, "op3_mixing": _MIX_SQL, "op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
