@@ -25,7 +25,7 @@ class Mix:
     percent: int = 150
     max_epochs: int = 2
     seed: int = 42
-    bin_docs: int = 4096
+    bin_docs: int = 1024
 
 
 def n_words(text: str) -> Column:
