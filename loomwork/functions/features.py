@@ -77,9 +77,19 @@ def weather_features(df: DataFrame) -> DataFrame:
     )
 
 
-def with_vector(df: DataFrame, features: tuple[str, ...], keep: tuple[str, ...]) -> DataFrame:
-    """``keep`` columns and a ``features`` vector; rows with a missing number are left out."""
-    assembler = VectorAssembler(
-        inputCols=list(features), outputCol="features", handleInvalid="skip"
-    )
+def with_vector(
+    df: DataFrame, features: tuple[str, ...], keep: tuple[str, ...], fill: float | None = None
+) -> DataFrame:
+    """``keep`` columns and a ``features`` vector of every row.
+
+    A missing number is an error when the rows are read, unless ``fill`` gives
+    what stands in for it; then each feature gets another behind all of them
+    that is 1 where it was missing.
+    """
+    columns = list(features)
+    if fill is not None:
+        missing = {f"{c}_missing": flag(F.col(c).isNull()) for c in features}
+        df = df.withColumns(missing).withColumns({c: F.coalesce(F.col(c), F.lit(fill)) for c in features})
+        columns += list(missing)
+    assembler = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="error")
     return assembler.transform(df).select(*keep, "features")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import bucketed, cut_lineage
+from ..storage import bucketed, cut_lineage, drop_cut
 
 SLICE_LINKS = 1_000_000  # links of one vertex handled by one task
+WEDGE_LINKS = 1_000  # outgoing links of one vertex that are paired with as many others in one task
 CUT_EVERY = 5  # rounds between lineage cuts
 
 
@@ -38,12 +39,17 @@ def undirected(edges: DataFrame) -> DataFrame:
     )
 
 
-def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
+def triangle_count(
+    edges: DataFrame, vertices: DataFrame | None = None, slice_links: int = WEDGE_LINKS
+) -> DataFrame:
     """``(id, triangles)`` for every vertex.
 
-    Every link points from its end of lower degree to the other.  A vertex then
-    has at most sqrt(2 * links) outgoing links, also a hub that most links
-    touch, so the pairs of outgoing links that a triangle closes stay few.
+    Every link points from its end of lower degree, then smaller id, to the
+    other.  A vertex then has at most sqrt(2 * links) outgoing links, also a hub
+    that most links touch.  Its outgoing links are cut into slices of about
+    ``slice_links``, and two slices meet in a place of their own, once; so each
+    pair of links is formed in one order only and no task gets all pairs of a
+    vertex.
     """
     links = cut_lineage(undirected(edges))
     degree = (
@@ -51,24 +57,31 @@ def triangle_count(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    lo, hi = degree.select(F.col("id").alias("lo"), F.col("n").alias("lo_n")), degree.select(
-        F.col("id").alias("hi"), F.col("n").alias("hi_n")
-    )
-    # ties of degree follow lo < hi
-    upward = F.col("lo_n") <= F.col("hi_n")
+    lo = degree.select(F.col("id").alias("lo"), F.struct("n", "id").alias("lo_r"))
+    hi = degree.select(F.col("id").alias("hi"), F.struct("n", "id").alias("hi_r"))
+    upward = F.col("lo_r") < F.col("hi_r")
+    pick = lambda x, y: F.when(upward, x).otherwise(y)
     out = cut_lineage(
         links.join(lo, "lo").join(hi, "hi").select(
-            F.when(upward, F.col("lo")).otherwise(F.col("hi")).alias("a"),
-            F.when(upward, F.col("hi")).otherwise(F.col("lo")).alias("b"),
+            pick(F.col("lo"), F.col("hi")).alias("a"),
+            pick(F.col("hi"), F.col("lo")).alias("b"),
+            pick(F.col("hi_r.n"), F.col("lo_r.n")).alias("b_n"),
         )
     )
-    # a pair closes only if its lower end has links of its own
-    onward = out.select(F.col("a").alias("b")).distinct()
-    first = out.join(onward, "b", "left_semi").select("a", "b")
-    wedges = first.join(out.withColumnRenamed("b", "c"), "a").where(F.col("b") != F.col("c"))
-    # links are unique, so as the build side of a hash join they are even and
-    # the far more numerous pairs need no sort
-    closed = wedges.join(out.select(F.col("a").alias("b"), F.col("b").alias("c")).hint("shuffle_hash"), ["b", "c"])
+    size = out.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / slice_links).cast("int").alias("slices"))
+    placed = out.join(size, "a").withColumn("own", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other")
+    meeting = placed.select("a", "b", "b_n", "own", other).select(
+        "a", "b", "b_n", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+    far = meeting.select("a", "i", "j", F.col("own").alias("c_own"), F.col("b").alias("c"), F.col("b_n").alias("c_n"))
+    apart = (F.col("i") == F.col("j")) | (F.col("own") != F.col("c_own"))  # within a slice they meet where i = j
+    wedges = (
+        meeting.join(far, ["a", "i", "j"])
+        .where(apart & (F.struct("b_n", "b") < F.struct("c_n", "c")))
+        .select("a", "b", "c")
+    )
+    closed = wedges.join(out.select(F.col("a").alias("b"), F.col("b").alias("c")), ["b", "c"])
     corners = (
         closed.select(F.explode(F.array("a", "b", "c")).alias("id"))
         .groupBy("id")
@@ -114,25 +127,29 @@ def pagerank(
     edges: DataFrame,
     reset: float = 0.15,
     tolerance: float | None = 1e-4,
-    max_rounds: int = 100,
+    rounds: int | None = None,
     slice_links: int = SLICE_LINKS,
 ) -> DataFrame:
     """``(id, rank)`` with ``rank = reset + (1 - reset) * sum(rank_src / out_src)``.
 
-    Ranks start at 1 and are not normalised; parallel edges count each.  With a
-    ``tolerance`` the loop ends when no rank moves by more, else after exactly
-    ``max_rounds``.  Each round moves ranks and sums combined per mapper, never
-    the links.
+    Ranks start at 1 and are not normalised; parallel edges count each.  The
+    loop ends when no rank moves by more than ``tolerance``, which happens for
+    every ``reset`` above 0, or after exactly ``rounds`` if they are given
+    instead.  Each round moves ranks and sums combined per mapper, never the
+    links.
     """
     if not 0 <= reset <= 1:
         raise ValueError("reset must lie between 0 and 1")
+    if rounds is None and (tolerance is None or reset == 0):
+        raise ValueError("give a number of rounds, or a tolerance and a reset above 0")
     weighted = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w")))
     out = weighted.groupBy("src").agg(F.sum("w").alias("out"))
     shares = weighted.join(out, "src").select("src", "dst", (F.col("w") / F.col("out")).alias("share"))
     links, hubs = sliced(shares, slice_links)
     ids = cut_lineage(endpoints(weighted))
-    ranks = ids.withColumn("rank", F.lit(1.0))
-    for round_no in range(1, max_rounds + 1):
+    ranks, cuts, done = ids.withColumn("rank", F.lit(1.0)), [], 0
+    while rounds is None or done < rounds:
+        done += 1
         senders = fan_out(ranks.withColumnRenamed("id", "src"), hubs)
         sums = (
             links.join(senders, ["src", "slice"])
@@ -140,42 +157,52 @@ def pagerank(
             .agg(F.sum(F.col("rank") * F.col("share")).alias("_sum"))
         )
         new = reset + (1 - reset) * F.coalesce("_sum", F.lit(0.0))
-        if tolerance is None:
+        if rounds is not None:
             # from the ids, not from the old ranks: a plan that used the ranks
             # twice would double with every round
             ranks = ids.join(sums, "id", "left").select("id", new.alias("rank"))
-            if round_no % CUT_EVERY == 0:
-                ranks = cut_lineage(ranks)
-            continue
-        moved = F.abs(new - F.col("rank")).alias("_moved")
-        step = cut_lineage(ranks.join(sums, "id", "left").select("id", new.alias("rank"), moved))
-        ranks = step.drop("_moved")
-        if (step.agg(F.max("_moved")).first()[0] or 0) <= tolerance:
+            if done % CUT_EVERY and done < rounds:
+                continue
+            ranks = cut_lineage(ranks)
+            moved = None
+        else:
+            change = F.abs(new - F.col("rank")).alias("_moved")
+            step = cut_lineage(ranks.join(sums, "id", "left").select("id", new.alias("rank"), change))
+            moved = step.agg(F.max("_moved")).first()[0] or 0
+            ranks = step.drop("_moved")
+        cuts.append(ranks)
+        if len(cuts) > 1:
+            drop_cut(cuts.pop(0))
+        if moved is not None and moved <= tolerance:
             break
     return ranks
 
 
 def spread(
-    vertices: DataFrame, edges: DataFrame, max_rounds: int = 30, slice_links: int = SLICE_LINKS
+    vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None, slice_links: int = SLICE_LINKS
 ) -> DataFrame:
     """``(id, reached, time)`` of a state passed along edges in both directions.
 
     ``vertices`` has ``id``, ``reached`` and ``time`` (not negative).  Each round
     the vertices reached in the round before offer their time plus one to
     neighbours not reached yet; a vertex takes the smallest offer of its first
-    round and keeps it.  Vertices never reached keep their own time.
+    round and keeps it.  It ends when a round reaches nothing new, or after
+    ``max_rounds`` where the question is who is reached by then.  Vertices not
+    reached keep their own time.
     """
-    pairs = cut_lineage(edges.select("src", "dst").distinct())
     both = (
-        pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        edges.select(F.inline(F.array(
+            F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        )))
         .where(F.col("src") != F.col("dst"))
         .distinct()
     )
-    links, hubs = sliced(cut_lineage(both), slice_links)
-    known = cut_lineage(graph_vertices(pairs, vertices, {"reached": False, "time": 0}))
+    links, hubs = sliced(both, slice_links)
+    known = cut_lineage(graph_vertices(edges.select("src", "dst"), vertices, {"reached": False, "time": 0}))
     front = known.where("reached").select("id", F.col("time").cast("long").alias("time"))
-    visited = front
-    for _ in range(max_rounds):
+    visited, rounds = front, 0
+    while max_rounds is None or rounds < max_rounds:
+        rounds += 1
         offers = (
             links.join(fan_out(front.withColumnRenamed("id", "src"), hubs), ["src", "slice"])
             .groupBy(F.col("dst").alias("id"))
@@ -185,6 +212,8 @@ def spread(
         if front.isEmpty():
             break
         visited = visited.unionByName(front)
+        if rounds % CUT_EVERY == 0:
+            visited = cut_lineage(visited)
     reached = visited.select("id", F.col("time").alias("_time"))
     return known.join(reached, "id", "left").select(
         "id",

@@ -12,7 +12,7 @@ from pyspark.ml.classification import (
     NaiveBayes,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,28 +65,49 @@ def split(df: DataFrame, fraction: float, place: Column) -> tuple[DataFrame, Dat
 
 def evaluate(model: Model, test: DataFrame) -> tuple[str, float]:
     """Accuracy on the test rows, or root mean square error for a regressor."""
-    regressor = isinstance(model.uid, str) and model.uid.startswith("RandomForestRegressor")
-    if regressor:
+    if isinstance(model, RandomForestRegressionModel):
         return "rmse", RegressionEvaluator(metricName="rmse").evaluate(model.transform(test))
     scorer = MulticlassClassificationEvaluator(metricName="accuracy")
     return "accuracy", scorer.evaluate(model.transform(test))
 
 
+def baseline(train: DataFrame, test: DataFrame) -> dict[str, float]:
+    """What needs no model: accuracy of the training rows' commonest label (the smaller of two),
+    and error of their mean."""
+    labels = train.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    common, mean = labels.agg(
+        F.max_by("label", F.struct("n", -F.col("label"))), F.sum(F.col("label") * F.col("n")) / F.sum("n")
+    ).first()
+    found = test.agg(
+        F.avg((F.col("label") == common).cast("double")), F.sqrt(F.avg(F.pow(F.col("label") - mean, F.lit(2))))
+    ).first()
+    return dict(zip(("accuracy", "rmse"), found))
+
+
 def compare(
     df: DataFrame, place: Column, fraction: float = 0.7, models: Sequence[str] = tuple(MODELS)
 ) -> DataFrame:
-    """``(model, metric, value)`` per model; the input has ``label``, ``features`` and
-    what ``place`` is computed from.
+    """A row per model: ``model, metric, value, n_train, n_test, baseline, beats_baseline``.
 
+    The input has ``label``, ``features`` and what ``place`` is computed from.
     Both parts are cached across the models; a lost cache block is recomputed.
+    A model beats the baseline if it is right more often, or has a smaller error.
     """
     train, test = (part.select("label", "features").cache() for part in split(df, fraction, place))
     try:
-        rows = [(name, *evaluate(MODELS[name]().fit(train), test)) for name in models]
+        n_train, n_test, plain = train.count(), test.count(), baseline(train, test)
+        rows = []
+        for name in models:
+            metric, value = evaluate(MODELS[name]().fit(train), test)
+            better = value > plain[metric] if metric == "accuracy" else value < plain[metric]
+            rows.append((name, metric, value, n_train, n_test, plain[metric], better))
     finally:
         train.unpersist()
         test.unpersist()
-    return df.sparkSession.createDataFrame(rows, "model string, metric string, value double")
+    return df.sparkSession.createDataFrame(
+        rows,
+        "model string, metric string, value double, n_train long, n_test long, baseline double, beats_baseline boolean",
+    )
 
 
 def tree_text(model: Model) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.skew import SALT, with_salt
+from ..plans.skew import SALT, hot_keys, with_salt
 
 
 def partition_sorted(
@@ -30,21 +30,14 @@ def partition_sorted(
     return placed.sortWithinPartitions(*group_by, *order_by)
 
 
-def skew_partition(
-    df: DataFrame,
-    partitions: int,
-    key: str,
-    hot: Sequence,
-    salts: int,
-    row_id: Sequence[str],
-) -> DataFrame:
-    """Hash placement by key, except that each hot key is spread over ``salts`` places.
+def skew_partition(df: DataFrame, partitions: int, key: str, row_id: Sequence[str]) -> DataFrame:
+    """Hash placement by key, except that hot keys are spread in proportion to their rows.
 
-    Keys outside ``hot`` stay together.  Aggregate in two steps afterwards: by
-    (key, salt), then by key.
+    A key with more rows than an average partition is hot, null included.  The
+    other keys stay together.  Aggregate in two steps afterwards: by (key,
+    ``_salt``), then by key.
     """
-    salted = with_salt(df, key, hot, salts, row_id)
-    return salted.repartition(partitions, key, SALT)
+    return with_salt(df, key, hot_keys(df, key, partitions), row_id).repartition(partitions, key, SALT)
 
 
 def sum_by(

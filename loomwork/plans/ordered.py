@@ -23,27 +23,14 @@ from ..storage import cut_lineage
 PAGE = "_page"
 GHOST = "_ghost"
 KEYS_PER_PAGE = 20  # keys read per page to place its border
-MAX_PAGES = 4096  # bounds the border list and the page summaries
-ROWS_PER_GROUP = 5_000_000  # a group up to this size may be sorted by one task
+ROWS_PER_PAGE = 100_000  # rows that one task sorts
 
 MakeColumn = Callable[[WindowSpec], Column]
 
 
-def page_count(df: DataFrame, pages: int | None = None) -> int:
-    """Number of pages: as asked, else one per shuffle partition."""
-    wanted = pages or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(wanted, MAX_PAGES))
-
-
-def groups_are_small(df: DataFrame, group_by: Sequence[str], limit: int) -> bool:
-    """Whether the plain window is safe: grouped, and no group above ``limit`` rows.
-
-    Reads the group columns only; the counts are combined before the shuffle.
-    """
-    if not group_by:
-        return False
-    sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("n"))
-    return (sizes.agg(F.max("n")).first()[0] or 0) <= limit
+def page_count(rows: DataFrame, pages: int | None, rows_per_page: int) -> int:
+    """Number of pages: as asked, else so many that each has about ``rows_per_page`` rows."""
+    return pages or max(1, -(-rows.count() // rows_per_page))
 
 
 def page_borders(df: DataFrame, key: Sequence[str], pages: int) -> Column:
@@ -121,7 +108,7 @@ def _paged_rows(
     following: int,
     pages: int,
 ) -> DataFrame:
-    """All rows plus ghosts, page ``i`` in partition ``i``."""
+    """All rows plus ghosts, page ``i`` in partition ``i``; ``df`` is a written table."""
     paged = with_page(df, key, pages)
     out = paged.withColumn(GHOST, F.lit(False))
     for rows, last in ((preceding, True), (following, False)):
@@ -140,7 +127,8 @@ def ordered_frame(
     preceding: int = 0,
     following: int = 0,
     pages: int | None = None,
-    rows_per_group: int = ROWS_PER_GROUP,
+    rows_per_page: int = ROWS_PER_PAGE,
+    split_groups: bool = True,
 ) -> DataFrame:
     """Add window columns whose frames reach a fixed number of rows.
 
@@ -148,11 +136,17 @@ def ordered_frame(
     ``group_by``, ordered by ``order_by``) to a column.  Frames may look back
     ``preceding`` rows and ahead ``following`` rows; ``reads`` names the
     columns they look at.  ``group_by`` may be empty.
+
+    The input is read once and written to the shared folder; borders, edge rows
+    and rows come from there, so an input that differs from reading to reading
+    does no harm.  ``split_groups=False`` asks for the plain window instead, for
+    groups known to fit a task.
     """
-    if groups_are_small(df, group_by, rows_per_group):
+    if group_by and not split_groups:
         window = Window.partitionBy(*group_by).orderBy(*order_by)
         return df.select("*", *[make(window).alias(name) for name, make in columns.items()])
-    n = page_count(df, pages)
+    df = cut_lineage(df)
+    n = page_count(df, pages, rows_per_page)
     rows = _paged_rows(df, [*group_by, *order_by], reads, preceding, following, n)
     window = Window.partitionBy(PAGE, *group_by).orderBy(*order_by)
     out = rows.select("*", *[make(window).alias(name) for name, make in columns.items()])
@@ -168,7 +162,8 @@ def carry_last(
     reads: Sequence[str],
     preceding: int = 0,
     pages: int | None = None,
-    rows_per_group: int = ROWS_PER_GROUP,
+    rows_per_page: int = ROWS_PER_PAGE,
+    split_groups: bool = True,
 ) -> DataFrame:
     """Add ``name``: the latest non-null ``value`` at or before each row in its group.
 
@@ -178,11 +173,12 @@ def carry_last(
     page is all that passes from page to page.
     """
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    if groups_are_small(df, group_by, rows_per_group):
+    if group_by and not split_groups:
         window = Window.partitionBy(*group_by).orderBy(*order_by)
         latest = F.last("_v", ignorenulls=True).over(window.rowsBetween(*so_far))
         return df.withColumn("_v", value(window)).withColumn(name, latest).drop("_v")
-    n = page_count(df, pages)
+    df = cut_lineage(df)
+    n = page_count(df, pages, rows_per_page)
     key = [*group_by, *order_by]
     rows = _paged_rows(df, key, reads, preceding, 0, n)
     window = Window.partitionBy(PAGE, *group_by).orderBy(*order_by)

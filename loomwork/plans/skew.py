@@ -7,40 +7,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import cut_lineage
+
 SALT = "_salt"
+PIECES = 4  # pieces that a partition's worth of a hot key is cut into, so that hashing evens them out
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
-    """Values of ``key`` holding more than ``min_share`` of the rows.
+def hot_keys(df: DataFrame, key: str, partitions: int) -> DataFrame:
+    """``(_hot, _salts)``: keys with more rows than a partition has on average.
 
-    At most ``1 / min_share`` values can, which bounds what the driver receives.
+    A key gets ``PIECES`` salts for every partition's worth of its rows, so what
+    goes to one place together is a part of an average partition, at any size of
+    the data.
+    Null can be such a key.  There are fewer rows than ``partitions``, so the
+    result may go to every task.  Counts are combined before they move.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    hot = counts.where((F.col("n") > total * min_share) & F.col(key).isNotNull())
-    return [row[0] for row in hot.select(key).collect()]
+    counts = cut_lineage(df.groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n")))
+    share = counts.agg((F.sum("_n") / F.lit(partitions)).alias("_share"))
+    return cut_lineage(
+        counts.join(F.broadcast(share))  # one row
+        .where(F.col("_n") > F.col("_share"))
+        .select("_hot", F.ceil(F.col("_n") * PIECES / F.col("_share")).cast("int").alias("_salts"))
+    )
 
 
-def is_hot(key: str, hot: Sequence | None) -> Column:
-    """Whether the row's key is in ``hot``; every key is when ``hot`` is None."""
-    if hot is None:
-        return F.lit(True)
-    return F.coalesce(F.col(key).isin(list(hot)), F.lit(False)) if hot else F.lit(False)
+def _with_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    marked = df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left").drop("_hot")
+    return marked.withColumn("_salts", F.coalesce("_salts", F.lit(1)))
 
 
-def salt_of(row_id: Sequence[str], salts: int) -> Column:
+def salt_of(row_id: Sequence[str], salts: Column) -> Column:
     """A salt in ``0..salts-1`` from the row's own values, so a retried task repeats it."""
-    return F.pmod(F.xxhash64(*row_id), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*row_id), salts).cast("int")
 
 
-def with_salt(
-    df: DataFrame, key: str, hot: Sequence | None, salts: int, row_id: Sequence[str]
-) -> DataFrame:
-    """Add ``_salt``: spread over ``salts`` values for hot keys, 0 for the others."""
-    return df.withColumn(SALT, F.when(is_hot(key, hot), salt_of(row_id, salts)).otherwise(0))
+def with_salt(df: DataFrame, key: str, hot: DataFrame, row_id: Sequence[str]) -> DataFrame:
+    """Add ``_salt``: spread over as many values as the row's key has salts."""
+    return _with_salts(df, key, hot).withColumn(SALT, salt_of(row_id, F.col("_salts"))).drop("_salts")
 
 
-def with_all_salts(df: DataFrame, key: str, hot: Sequence | None, salts: int) -> DataFrame:
-    """Copy rows of hot keys once per salt; the others get salt 0 only."""
-    last = F.when(is_hot(key, hot), salts - 1).otherwise(0)
-    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), last)))
+def with_all_salts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Copy each row once for every salt of its key."""
+    salts = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
+    return _with_salts(df, key, hot).withColumn(SALT, salts).drop("_salts")

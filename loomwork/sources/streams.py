@@ -15,18 +15,31 @@ def new_files(spark: SparkSession, folder: str, per_batch: int | None = None) ->
     return reader.text(folder)
 
 
-def parquet_files(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType,
-    pattern: str = "*.parquet",
-    per_batch: int | None = None,
+def parquet_table(
+    spark: SparkSession, path: str, schema: T.StructType, per_batch: int | None = None
 ) -> DataFrame:
-    """Rows of parquet files matching ``pattern`` as they appear in a folder."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """Rows of a parquet table, which may be one file or a folder of part files that grows.
+
+    A path that is not there is an error.
+    """
+    reader = spark.readStream.schema(schema)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.parquet(folder)
+    return reader.parquet(as_pattern(path) if is_file(spark, path) else path)
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether the path is one file; raises if there is nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        raise FileNotFoundError(path)
+    return fs.getFileStatus(place).isFile()
+
+
+def as_pattern(path: str) -> str:
+    """A pattern that only this path matches: a stream takes a plain path for a folder."""
+    return f"{path[:-1]}[{path[-1]}]"
 
 
 def with_ingest_time(stream: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,17 +14,16 @@ SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a temporary folder: on
-    a cluster that would be lost with its machine, so there it is an error.
+    Where the setting is missing, a session whose only executor is the driver
+    itself gets a folder of its own; any other is told to name one.
     """
     sc = spark.sparkContext
-    folder = spark.conf.get(SETTING, None) or sc.getConf().get(SETTING, None)
-    if folder is None:
-        if sc.getCheckpointDir():
-            return sc.getCheckpointDir()
-        if not sc.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder every executor can reach")
+    folder = spark.conf.get(SETTING, None) or sc.getConf().get(SETTING, None) or sc.getCheckpointDir()
+    if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError(f"set {SETTING} to a folder that the driver and every executor can reach")
         folder = tempfile.mkdtemp(prefix="loomwork-")
+        spark.conf.set(SETTING, folder)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
@@ -45,6 +45,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_cut(df: DataFrame | None) -> None:
+    """Delete the files of a table that ``cut_lineage`` gave, once nothing reads it any more."""
+    if df is None:
+        return
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/cuts/" in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def bucketed(df: DataFrame, *columns: str, buckets: int | None = None) -> DataFrame:
     """``cut_lineage`` into a table bucketed by ``columns``: joins on them do not move it again."""
     spark = df.sparkSession

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.parse import explode_tokens
-from .tables import BATCH, ResultTable
+from .tables import ResultTable
 
 # executors get the functions below with the plan and need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,21 +41,29 @@ def _combine(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _add(
     key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
 ) -> Iterator[pd.DataFrame]:
-    n = state.get[0] if state.exists else 0
-    n += sum(int(pdf["n"].sum()) for pdf in batches)
-    state.update((n,))
-    yield pd.DataFrame({"word": [key[0]], "n": [n]})
+    fresh: dict[str, int] = {}
+    for pdf in batches:
+        for word, n in zip(pdf["word"].tolist(), pdf["n"].tolist()):
+            fresh[word] = fresh.get(word, 0) + n
+    known = dict(zip(*state.get)) if state.exists else {}
+    known.update((word, known.get(word, 0) + n) for word, n in fresh.items())
+    state.update((list(known), list(known.values())))
+    yield pd.DataFrame({"word": list(fresh), "n": [known[word] for word in fresh]})
 
 
-def word_counts_by_state(lines: DataFrame, column: str = "value") -> DataFrame:
+def word_counts_by_state(lines: DataFrame, column: str = "value", buckets: int = 1024) -> DataFrame:
     """Running counts by explicit keyed state that never expires, for update mode.
 
     Each Arrow batch is combined to counts before the shuffle, so a frequent
-    word reaches its state as a few rows.
+    word reaches its state as a few rows.  Words share ``buckets`` states by
+    hash: one call and one frame per bucket, not per word.  A batch rewrites the
+    buckets it touches, so there should be more of them the larger the
+    vocabulary is.
     """
     words = explode_tokens(lines, column).mapInPandas(_combine, "word string, n long")
-    return words.groupBy("word").applyInPandasWithState(
-        _add, "word string, n long", "n long", "update", GroupStateTimeout.NoTimeout
+    bucket = F.pmod(F.xxhash64("word"), F.lit(buckets))
+    return words.withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
+        _add, "word string, n long", "words array<string>, counts array<bigint>", "update", GroupStateTimeout.NoTimeout
     )
 
 
@@ -74,9 +82,3 @@ def entity_counts(rows: DataFrame, keys: list[str], prefix: str) -> dict[str, Re
         )
         for key in keys
     }
-
-
-__all__ = [
-    "BATCH", "batch_word_counts", "entity_counts", "ticker_sums", "word_counts",
-    "word_counts_by_state",
-]

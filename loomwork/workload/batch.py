@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions import features, parse
 from ..operators import joins, nested, pairs, partition, rates, sessions, setops, timeseries
-from ..plans.skew import hot_keys
 from ..storage import new_path
 from .tables import (
     LOG_LINES_SQL,
@@ -103,8 +102,9 @@ def lead_lag(spark, sf_dir):
     return out.select("user_id", "event_id", F.col("value").alias("v_now"), "v_after", "v_before")
 
 
-@query(f"""select *, case when v_now < v_after and v_now < v_before then 'valley'
-  when v_now > v_after and v_now > v_before then 'peak' else 'n/a' end as turn from ({NEIGHBOURS})""")
+# by the signs of the steps to and from a row: up then down, or down then up
+@query(f"""select *, case sign(v_now - v_before)::int * 3 + sign(v_after - v_now)::int
+  when 2 then 'peak' when -2 then 'valley' else 'n/a' end as turn from ({NEIGHBOURS})""")
 def peak_valley(spark, sf_dir):
     out = timeseries.peak_valley(_events(spark, sf_dir), USER, ORDER, "value")
     return out.select("user_id", "event_id", F.col("value").alias("v_now"), "v_after", "v_before", "turn")
@@ -261,7 +261,7 @@ def plain_join(spark, sf_dir):
 @query(ORACLES["plain_join"])
 def salted_join(spark, sf_dir):
     joined = joins.salted_join(
-        *_join_inputs(spark, sf_dir), "suppkey", salts=8, row_id=["l_orderkey", "l_linenumber", "l_partkey"]
+        *_join_inputs(spark, sf_dir), "suppkey", row_id=["l_orderkey", "l_linenumber", "l_partkey"]
     )
     return _by_nation(joined)
 
@@ -290,13 +290,18 @@ def pair_counts(spark, sf_dir):
     return pairs.pair_counts(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
 
 
-@query(f"""with {PAIRS}, r as (select a, string_agg(b || ':' || n, ',' order by b) as partners from p group by a)
-select x as a, coalesce(partners, '') as partners from (select distinct x from i) left join r on x = a""")
+SEGMENTS = 4
+
+
+@query(f"""with {PAIRS}, r as (select a, (('0x' || md5(b::varchar)[1:8])::bigint % {SEGMENTS})::int as segment,
+  string_agg(b || ':' || n, ',' order by b) as partners from p group by 1, 2)
+select x as a, coalesce(segment, 0) as segment, coalesce(partners, '') as partners
+from (select distinct x from i) left join r on x = a""")
 def pair_counts_nested(spark, sf_dir):
-    out = pairs.pair_counts_nested(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    out = pairs.pair_counts_nested(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", segments=SEGMENTS)
     entry = lambda e: F.concat(e["key"].cast("string"), F.lit(":"), e["value"].cast("string"))
     entries = F.transform(F.array_sort(F.map_entries("partners")), entry)
-    return out.select("a", F.array_join(entries, ",").alias("partners"))
+    return out.select("a", "segment", F.array_join(entries, ",").alias("partners"))
 
 
 DAY = "cast(date_diff('day', date '1970-01-01', cast(ts as date)) as integer)"
@@ -314,17 +319,20 @@ def sum_by_group_time(spark, sf_dir):
     return out.withColumn("total", F.col("total").cast("double"))
 
 
+def _shuffle_partitions(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("select event_id, user_id, value from events")
 def partition_sorted(spark, sf_dir):
-    out = partition.partition_sorted(_events(spark, sf_dir), 8, USER, ORDER)
+    out = partition.partition_sorted(_events(spark, sf_dir), _shuffle_partitions(spark), USER, ORDER)
     return out.select("event_id", "user_id", "value")
 
 
 @query("select event_id, event_type, value from events")
 def skew_partition(spark, sf_dir):
     events = _events(spark, sf_dir, "event_type")
-    hot = hot_keys(events, "event_type", min_share=0.2)
-    out = partition.skew_partition(events, 8, "event_type", hot, 9, ["event_id"])
+    out = partition.skew_partition(events, _shuffle_partitions(spark), "event_type", ["event_id"])
     return out.select("event_id", "event_type", "value")
 
 
@@ -392,7 +400,7 @@ def nested_roundtrip(spark, sf_dir):
     ddl = "doc_id bigint, lang string, nested array<struct<line_no:int,n_chars:int>>"
     schema = nested.create_table_if_absent(spark, f"{name}_empty", ddl, new_path(spark, "tables"))
     rows = nested_documents(table(spark, sf_dir, "documents")).to(schema)
-    saved = nested.save_table(rows, name, new_path(spark, "tables"), files=2)
+    saved = nested.save_table(rows, name, new_path(spark, "tables"), files=_shuffle_partitions(spark))
     return nested.explode_structs(saved, ["doc_id", "lang"], "nested")
 
 
@@ -443,8 +451,8 @@ PASSENGERS_SQL = """select c_custkey,
     f"""coalesce(cast(embarked = '{c}' as int), 0)::double as "isEmbark{c}" """ for c in features.PORTS
 ) + """, pclass::double as "pClass", fare from p""")
 def ml_features_passenger(spark, sf_dir):
-    table(spark, sf_dir, "customer").createOrReplaceTempView("loomwork_customer")
-    return features.passenger_features(spark.sql(PASSENGERS_SQL.format(source="loomwork_customer")))
+    customers = table(spark, sf_dir, "customer")
+    return features.passenger_features(spark.sql(PASSENGERS_SQL.format(source="{source}"), source=customers))
 
 
 WEATHER_SQL = """select o_orderkey,
@@ -464,6 +472,5 @@ WEATHER_SQL = """select o_orderkey,
   + ", ".join(f"""cast("humidityEnum" = '{v}' as int)::double as humidity_{v}""" for v in features.HUMIDITIES)
   + """, cast("windyFlag" = 'TRUE' as int)::double as windy, cast("playFlag" = 'yes' as int)::double as label from d""")
 def ml_features_weather(spark, sf_dir):
-    table(spark, sf_dir, "orders").createOrReplaceTempView("loomwork_orders")
-    sql = WEATHER_SQL.format(source="loomwork_orders").replace('"', "`")
-    return features.weather_features(spark.sql(sql))
+    sql = WEATHER_SQL.format(source="{source}").replace('"', "`")
+    return features.weather_features(spark.sql(sql, source=table(spark, sf_dir, "orders")))

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..sources.streams import parquet_files
+from ..sources.streams import parquet_table
 from ..streaming import counts, windows
 from ..streaming.sessions import current_sessions, session_table, session_updates
 from ..streaming.tables import ResultTable
@@ -27,8 +27,7 @@ def query(sql: str):
 
 
 def _stream(spark, sf_dir, name):
-    schema = table(spark, sf_dir, name).schema
-    return parquet_files(spark, sf_dir, schema, f"{name}.parquet")
+    return parquet_table(spark, f"{sf_dir}/{name}.parquet", table(spark, sf_dir, name).schema)
 
 
 def _words_sql(source: str, line: str) -> str:

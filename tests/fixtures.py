@@ -1,4 +1,7 @@
-"""Small inputs with known results."""
+"""Small inputs with known results.
+
+Fixed values: rows that published results belong to.
+"""
 
 MULTI_GROUP = [
     ("A", 5, 3), ("B", 6, 1), ("A", 7, 4), ("B", 1, 1), ("A", 2, 2), ("B", 3, 1), ("A", 4, 2),
@@ -16,18 +19,21 @@ NESTED = [
     ("B", 5, 3, [(1.0, 2.0), (1.0, 2.0)]),
     ("C", 5, 3, [(1.0, 2.0), (1.0, 2.0)]),
 ]
-_EARLY = [(1, 100), (2, 101), (3, 102), (4, 103), (5, 104), (6, 105), (7, 103), (8, 102), (9, 105)]
-LEAD_LAG = (
-    [("A", *r) for r in _EARLY]
-    + [("A", *r) for r in [(11, 100), (12, 101), (13, 102), (14, 103), (15, 104), (16, 105), (17, 103), (18, 102), (19, 105)]]
-    + [("B", *r) for r in _EARLY]
-    + [("B", *r) for r in [(11, 106), (12, 101), (13, 102), (14, 103), (15, 104), (16, 103), (17, 103), (18, 102), (19, 105)]]
-)
+LEAD_LAG = [
+    ("A", 1, 100), ("A", 2, 101), ("A", 3, 102), ("A", 4, 103), ("A", 5, 104), ("A", 6, 105), ("A", 7, 103),
+    ("A", 8, 102), ("A", 9, 105), ("A", 11, 100), ("A", 12, 101), ("A", 13, 102), ("A", 14, 103), ("A", 15, 104),
+    ("A", 16, 105), ("A", 17, 103), ("A", 18, 102), ("A", 19, 105), ("B", 1, 100), ("B", 2, 101), ("B", 3, 102),
+    ("B", 4, 103), ("B", 5, 104), ("B", 6, 105), ("B", 7, 103), ("B", 8, 102), ("B", 9, 105), ("B", 11, 106),
+    ("B", 12, 101), ("B", 13, 102), ("B", 14, 103), ("B", 15, 104), ("B", 16, 103), ("B", 17, 103), ("B", 18, 102),
+    ("B", 19, 105),
+]
 INFLECTIONS = {("A", 17), ("B", 15)}
-SESSION_TIMES = {
-    "A": [1, 2, 3, 4, 15, 16, 17, 28, 29, 30, 41, 42, 53, 54, 55, 56],
-    "B": [12, 13, 14, 15, 16, 17, 18, 19, 22, 23, 34, 35, 36, 37, 48, 49],
-}
+SESSION_TIMES = [
+    ("A", 1), ("A", 2), ("A", 3), ("A", 4), ("A", 15), ("A", 16), ("A", 17), ("A", 28), ("A", 29), ("A", 30),
+    ("A", 41), ("A", 42), ("A", 53), ("A", 54), ("A", 55), ("A", 56), ("B", 12), ("B", 13), ("B", 14), ("B", 15),
+    ("B", 16), ("B", 17), ("B", 18), ("B", 19), ("B", 22), ("B", 23), ("B", 34), ("B", 35), ("B", 36), ("B", 37),
+    ("B", 48), ("B", 49),
+]
 EDGES = [
     (0, 14), (2, 18), (4, 17), (5, 15), (7, 13), (9, 15), (3, 17), (4, 19), (7, 18), (9, 16), (5, 14),
     (1, 13), (1, 12), (5, 14), (4, 18), (3, 17), (7, 15), (2, 13), (7, 15), (2, 17), (7, 19), (9, 18),

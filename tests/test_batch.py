@@ -64,28 +64,42 @@ def test_pair_counts(baskets, block):
     assert len(got) == 59 and sum(got.values()) == 89 and got[1, 2] == 5 and got[2, 12] == 3
 
 
-@pytest.mark.parametrize("entries", [2, 1000])
-def test_nested_pair_counts(baskets, entries):
-    out = pairs.pair_counts_nested(baskets, "id", "item", max_entries=entries, block_items=2).collect()
+@pytest.mark.parametrize("segments", [1, 3])
+def test_nested_pair_counts(baskets, segments):
+    out = pairs.pair_counts_nested(baskets, "id", "item", segments=segments, block_items=2).collect()
     got, empty = {}, set()
     for r in out:
         got.update({(r["a"], b): n for b, n in r["partners"].items()})
         if not r["partners"]:
             empty.add(r["a"])
     assert got == brute_pairs() and empty == {10, 13, 14}
-    assert entries == 2 or len(out) == 14
-    assert entries == 1000 or len(out) > 14
+    assert len({(r["a"], r["segment"]) for r in out}) == len(out)
+    assert {r["segment"] for r in out} == set(range(segments))
+    assert segments > 1 or len(out) == 14
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 6])
+def test_pairs_seen_often(baskets, least):
+    got = {(r["a"], r["b"]): r["n"] for r in pairs.pair_counts(baskets, "id", "item", 2, min_count=least).collect()}
+    assert got == {p: n for p, n in brute_pairs().items() if n >= least}
+
+
+@pytest.mark.parametrize("names", [("b", "a"), ("a", "n"), ("_k", "_x"), ("n", "b"), ("segment", "partners")])
+def test_pairs_with_any_column_names(spark, names):
+    df = spark.createDataFrame([(1, 5), (1, 6), (None, 6), (None, 7), (2, None)], "x long, y long").toDF(*names)
+    got = {tuple(r) for r in pairs.pair_counts(df, *names).collect()}
+    assert got == {(5, 6, 1), (6, 7, 1)}
+    assert pairs.pair_counts_nested(df, *names).count() == 3
 
 
 # ------------------------------------------------------------------ joins and placement
 
 
-@pytest.mark.parametrize("salts", [1, 2, 9])
-@pytest.mark.parametrize("hot", ["auto", None, ["A"], []])
-def test_salted_join(spark, salts, hot):
+@pytest.mark.parametrize("partitions", [1, 2, 9, None])
+def test_salted_join(spark, partitions):
     left = spark.createDataFrame(SALTED, "group string, value long")
     right = left.withColumnRenamed("value", "other").union(spark.createDataFrame([(None, 1)], "group string, other long"))
-    got = joins.salted_join(left, right, "group", salts, ["other"], hot=hot, min_share=0.3)
+    got = joins.salted_join(left, right, "group", ["other"], partitions)
     want = joins.plain_join(left, right, "group")
     assert rows(got.select("group", "value", "other")) == rows(want.select("group", "value", "other"))
     assert got.count() == 50
@@ -98,14 +112,24 @@ def ticks(spark):
 
 
 def test_hot_keys(ticks):
-    assert skew.hot_keys(ticks, "ticker", 0.2) == ["apple"]
-
-
-def test_skew_partition_spreads_only_the_hot_key(ticks):
-    out = partition.skew_partition(ticks, 16, "ticker", ["apple"], 9, ["time"]).withColumn("p", F.spark_partition_id())
+    (key, salts), = rows(skew.hot_keys(ticks, "ticker", 9))  # a third of the rows, so three partitions
+    assert key == "apple" and salts in (12, 13)
+    assert rows(skew.hot_keys(ticks, "ticker", 2)) == []
+    assert rows(skew.hot_keys(ticks.limit(0), "ticker", 2)) == []
+
+
+def test_skew_partition_spreads_only_the_hot_keys(ticks):
+    """Half of the rows have no key, a third has one key; no place gets over twice the mean."""
+    third = ticks.where("ticker = 'apple'")
+    nulls = third.withColumn("ticker", F.lit(None).cast("string")).withColumn("time", F.col("time") + 10_000)
+    df = ticks.union(nulls).union(nulls.withColumn("time", F.col("time") + 10_000))
+    n = 8
+    out = partition.skew_partition(df, n, "ticker", ["time"]).withColumn("p", F.spark_partition_id())
+    sizes = [r["n"] for r in out.groupBy("p").agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2 * sum(sizes) / n
     places = {r["ticker"]: r["n"] for r in out.groupBy("ticker").agg(F.countDistinct("p").alias("n")).collect()}
-    assert places.pop("apple") > 3 and set(places.values()) == {1}
-    assert rows(out.drop("p", "_salt")) == rows(ticks)
+    assert places.pop("apple") > 1 and places.pop(None) > 2 and set(places.values()) == {1}
+    assert rows(out.drop("p", "_salt")) == rows(df)
 
 
 @pytest.mark.parametrize("whole", [True, False])
@@ -165,7 +189,7 @@ def nested_df(spark):
 def test_explode(nested_df):
     want = [(g, *pair) for g, _, _, items in NESTED for pair in items]
     assert rows(nested.explode_structs(nested_df, ["group"], "nested")) == sorted(want)
-    assert rows(nested.explode_structs_sql(nested_df, "json_table", ["group"], "nested")) == sorted(want)
+    assert rows(nested.explode_structs_sql(nested_df, "with_pairs", ["group"], "nested")) == sorted(want)
 
 
 def test_flatten(nested_df):
@@ -190,16 +214,17 @@ def test_flatten_any_depth_nulls_and_empty(spark):
 
 
 def test_table_roundtrip(spark, tmp_path):
-    ddl = "A int, B string, nested array<struct<nested_C:int,nested_D:string>>"
-    schema = nested.create_table_if_absent(spark, "nested_empty", ddl, str(tmp_path / "empty"))
-    assert nested.create_table_if_absent(spark, "nested_empty", ddl, str(tmp_path / "empty")) == schema
-    data = [(i, "foo", [(1, f"bar{c}"), (2, "bar")]) for i, c in ((1, "A"), (2, "B"), (3, "C"))]
-    df = nested.rows_to_frame(spark, data, schema)
-    saved = nested.save_table(df, "nested_populated", str(tmp_path / "full"), files=2)
+    """Null and empty arrays, two levels, names with capitals."""
+    ddl = "Key bigint, items array<struct<Name:string,tags:array<string>>>, note string"
+    schema = nested.create_table_if_absent(spark, "shop_empty", ddl, str(tmp_path / "empty"))
+    assert nested.create_table_if_absent(spark, "shop_empty", ddl, str(tmp_path / "empty")) == schema
+    data = [(7, None, "none"), (8, [], None), (9, [("Lamp", ["old", None]), (None, None), ("Rug", [])], "three")]
+    df = nested.rows_to_frame(spark, data * 10, schema)
+    saved = nested.save_table(df, "shop_full", str(tmp_path / "full"), files=3)
     assert rows(saved) == rows(df)
-    assert len(list((tmp_path / "full").glob("*.gz.parquet"))) == 2
+    assert len(list((tmp_path / "full").glob("*.gz.parquet"))) == 3
     assert files.query_view(saved, "v", limit=2).count() == 2
-    assert "nested_D: string" in files.schema_tree(saved)
+    assert "Name: string" in files.schema_tree(saved)
 
 
 # ------------------------------------------------------------------ files
@@ -306,14 +331,28 @@ def test_passenger_features(spark):
     assert vector.size == 22 and vector[21] == 26.5
 
 
+def test_rows_with_missing_numbers_are_kept(spark):
+    df = spark.createDataFrame([(1, 2.0, 3.0), (2, None, 5.0)], "id int, x double, y double")
+    filled = features.with_vector(df, ("x", "y"), ("id",), fill=-1.0).collect()
+    assert {r["id"]: r["features"].toArray().tolist() for r in filled} == {1: [2, 3, 0, 0], 2: [-1, 5, 1, 0]}
+    with pytest.raises(Exception, match="null"):
+        features.with_vector(df, ("x", "y"), ("id",)).collect()
+
+
 def test_models_learn(spark):
     rows_ = spark.range(600).select("id", (F.col("id") % 2).cast("double").alias("label"), (F.col("id") % 2 * 5).cast("double").alias("x"), (F.col("id") % 13).cast("double").alias("y"))
     df = features.with_vector(rows_, ("x", "y"), ("id", "label"))
     train, test = ml.split(df, 0.7, ml.hash_place("id"))
     assert train.count() + test.count() == 600 and 350 < train.count() < 490
     assert train.join(test, "id").count() == 0
-    got = {r["model"]: (r["metric"], r["value"]) for r in ml.compare(df, ml.hash_place("id")).collect()}
+    compared = ml.compare(df, ml.hash_place("id")).collect()
+    got = {r["model"]: (r["metric"], r["value"]) for r in compared}
     assert set(got) == set(ml.MODELS)
+    labels = [r["label"] for r in test.collect()]
+    share = max(labels.count(0.0), labels.count(1.0)) / len(labels)
+    for r in compared:
+        assert (r["n_train"], r["n_test"]) == (train.count(), len(labels)) and r["beats_baseline"]
+        assert r["metric"] == "rmse" or r["baseline"] in (pytest.approx(share), pytest.approx(1 - share))
     for name, (metric, value) in got.items():
         if metric == "accuracy":
             assert value > 0.95, name

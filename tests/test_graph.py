@@ -35,8 +35,9 @@ def test_triangles_of_a_hub_with_loops_and_repeats(spark):
         if all(frozenset(p) in links for p in combinations(t, 2)):
             for i in t:
                 want[i] += 1
-    out = graph.triangle_count(spark.createDataFrame(pairs, "src long, dst long"))
-    assert {r["id"]: r["triangles"] for r in out.collect()} == want
+    for slice_links in (2, 1000):
+        out = graph.triangle_count(spark.createDataFrame(pairs, "src long, dst long"), slice_links=slice_links)
+        assert {r["id"]: r["triangles"] for r in out.collect()} == want
 
 
 @pytest.mark.parametrize("slice_links", [2, 10**6])
@@ -75,7 +76,7 @@ def brute_ranks(pairs, reset, rounds):
 
 @pytest.mark.parametrize("slice_links", [1, 3, 10**6])
 def test_pagerank_rounds(edges, slice_links):
-    out = graph.pagerank(edges, tolerance=None, max_rounds=6, slice_links=slice_links)
+    out = graph.pagerank(edges, rounds=6, slice_links=slice_links)
     got = {r["id"]: r["rank"] for r in out.collect()}
     assert got == pytest.approx(brute_ranks(EDGES, 0.15, 6))
 
@@ -83,8 +84,33 @@ def test_pagerank_rounds(edges, slice_links):
 def test_pagerank_tolerance(edges):
     got = {r["id"]: r["rank"] for r in graph.pagerank(edges, tolerance=1e-3).collect()}
     assert got == pytest.approx(brute_ranks(EDGES, 0.15, 200), abs=5e-3)
-    with pytest.raises(ValueError):
-        graph.pagerank(edges, reset=1.1)
+    for wrong in ({"reset": 1.1}, {"tolerance": None}, {"reset": 0.0}):
+        with pytest.raises(ValueError):
+            graph.pagerank(edges, **wrong)
+
+
+def test_pagerank_goes_on_until_it_converges(spark):
+    """No number of rounds is given."""
+    path = [(i, i + 1) for i in range(40)]
+    df = spark.createDataFrame(path, "src long, dst long").coalesce(1)
+    got = {r["id"]: r["rank"] for r in graph.pagerank(df, reset=0.01, tolerance=1e-12).collect()}
+    assert got == pytest.approx(brute_ranks(path, 0.01, 60))
+
+
+def test_spread_goes_on_until_nothing_is_new(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long").coalesce(1)
+    seed = spark.createDataFrame([(0, True, 0)], "id long, reached boolean, time long")
+    assert {r["id"]: r["time"] for r in graph.spread(seed, path).collect()} == {i: i for i in range(41)}
+
+
+def test_old_rounds_leave_no_files(spark, edges):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir") + "/cuts"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    graph.pagerank(edges, tolerance=1e-6).collect()
+    left = set(os.listdir(folder)) - before
+    assert len(left) <= 5  # links, hubs, ids and the last ranks, however many rounds
 
 
 def test_vertices_named_by_edges_get_defaults(spark, edges):

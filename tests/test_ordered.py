@@ -42,17 +42,38 @@ FRAMES = {
 def test_frames(skewed, group_by, pages):
     order = ["ts", "tie"]
     got = ordered.ordered_frame(
-        skewed, group_by, order, FRAMES, ["v"], 3, 3, pages=pages, rows_per_group=0
+        skewed, group_by, order, FRAMES, ["v"], 3, 3, pages=pages
     )
     w = Window.partitionBy(*group_by).orderBy(*order)
     want = skewed.select("*", *[make(w).alias(k) for k, make in FRAMES.items()])
     assert rows(got) == rows(want)
 
 
-def test_small_groups_use_the_plain_window(skewed):
-    assert ordered.groups_are_small(skewed, ["g"], 667)
-    assert not ordered.groups_are_small(skewed, ["g"], 666)
-    assert not ordered.groups_are_small(skewed, [], 10**9)
+def test_plain_window_on_request(skewed):
+    order = ["ts", "tie"]
+    plain = ordered.ordered_frame(skewed, ["g"], order, FRAMES, ["v"], 3, 3, split_groups=False)
+    assert "_page" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert rows(plain) == rows(ordered.ordered_frame(skewed, ["g"], order, FRAMES, ["v"], 3, 3, pages=5))
+
+
+def test_pages_follow_the_rows(skewed):
+    assert ordered.page_count(skewed, None, 100) == 20
+    assert ordered.page_count(skewed, None, 10**9) == 1
+    assert ordered.page_count(skewed, None, 1) == 2000
+    assert ordered.page_count(skewed, 20_000, 100) == 20_000
+    got = ordered.ordered_frame(skewed, [], ["ts", "tie"], {"p": lambda w: F.lag("v").over(w)}, ["v"], 1, rows_per_page=100)
+    want = skewed.withColumn("p", F.lag("v").over(Window.orderBy("ts", "tie")))
+    assert rows(got) == rows(want)
+
+
+def test_input_is_read_once(spark):
+    """An input that differs at every reading still gives every row its true neighbour."""
+    df = spark.range(3000).select(F.col("id").alias("tie"), (F.rand() * 1e6).cast("long").alias("ts"))
+    df = df.withColumn("v", F.col("ts") * 2)
+    out = ordered.ordered_frame(df, [], ["ts", "tie"], {"p": lambda w: F.lag("v").over(w)}, ["v"], 1, pages=9).collect()
+    ordered_rows = sorted(out, key=lambda r: (r["ts"], r["tie"]))
+    assert len(out) == 3000 and {r["tie"] for r in out} == set(range(3000))
+    assert [r["p"] for r in ordered_rows] == [None, *[r["v"] for r in ordered_rows[:-1]]]
 
 
 def test_pages_are_even_and_split_the_hot_group(skewed):
@@ -92,8 +113,8 @@ def test_sessions_equal_brute_force(skewed, pages, gap):
                 start, n = None, 0
             start, last, n = (t if start is None else start), t, n + 1
         want.append((g, start, last, n, last - start))
-    for limit in (0, 10**6):
-        got = sessions.sessions(skewed, ["g"], ["ts", "tie"], F.lit(gap), pages=pages, rows_per_group=limit)
+    for split in (True, False):
+        got = sessions.sessions(skewed, ["g"], ["ts", "tie"], F.lit(gap), pages=pages, split_groups=split)
         assert rows(got.select("g", "session_start", "session_end", "events", "length")) == sorted(want, key=repr)
 
 
@@ -142,8 +163,8 @@ def lead_lag(spark):
 
 def test_diff_by_group(spark):
     df = spark.createDataFrame(MULTI_GROUP, "group string, time long, value long")
-    for limit in (0, 100):
-        out = timeseries.diff_to_previous(df, ["time"], "value", ["group"], rows_per_group=limit)
+    for split in (True, False):
+        out = timeseries.diff_to_previous(df, ["time"], "value", ["group"], split_groups=split)
         for g in "AB":
             got = [r["dif"] for r in out.where(F.col("group") == g).orderBy("time").collect()]
             assert got == [1, 1, -1, 1, 1, -2, 3]
@@ -154,8 +175,8 @@ def test_peaks(lead_lag):
         "A": {6: "peak", 8: "valley", 9: "peak", 11: "valley", 16: "peak", 18: "valley"},
         "B": {6: "peak", 8: "valley", 11: "peak", 12: "valley", 15: "peak", 18: "valley"},
     }
-    for limit in (0, 100):
-        out = timeseries.peak_valley(lead_lag, ["group"], ["ts"], "value", rows_per_group=limit).collect()
+    for split in (True, False):
+        out = timeseries.peak_valley(lead_lag, ["group"], ["ts"], "value", split_groups=split).collect()
         for r in out:
             assert r["turn"] == want[r["group"]].get(r["ts"], "n/a")
 
@@ -185,18 +206,17 @@ def test_tumbling(lead_lag):
 
 
 def test_sessions(spark):
-    data = [(g, t) for g, ts in SESSION_TIMES.items() for t in ts]
-    df = spark.createDataFrame(data, "group string, ts long")
+    df = spark.createDataFrame(SESSION_TIMES, "group string, ts long")
     want = [
         ("A", 1, 4, 3, 4), ("A", 15, 17, 2, 3), ("A", 28, 30, 2, 3), ("A", 41, 42, 1, 2), ("A", 53, 56, 3, 4),
         ("B", 12, 23, 11, 10), ("B", 34, 37, 3, 4), ("B", 48, 49, 1, 2),
     ]
-    for limit in (0, 100):
-        out = sessions.sessions(df, ["group"], ["ts"], F.lit(10), rows_per_group=limit)
+    for split in (True, False):
+        out = sessions.sessions(df, ["group"], ["ts"], F.lit(10), split_groups=split)
         assert rows(out.select("group", "session_start", "session_end", "length", "events")) == want
 
 
 def test_empty_input(lead_lag):
     none = lead_lag.where("ts < 0")
     assert timeseries.sliding_stats(none, ["ts", "group"], "value").count() == 0
-    assert sessions.sessions(none, ["group"], ["ts"], F.lit(10), rows_per_group=-1).count() == 0
+    assert sessions.sessions(none, ["group"], ["ts"], F.lit(10)).count() == 0

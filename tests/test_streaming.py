@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.parse import parse_weblog
 from loomwork.operators import sessions as batch_sessions
-from loomwork.sources.streams import new_files, parquet_files, with_ingest_time
+from loomwork.sources.streams import new_files, parquet_table, with_ingest_time
 from loomwork.streaming import counts, windows
 from loomwork.streaming.sessions import current_sessions, merge_spans, session_table, session_updates
 from loomwork.streaming.tables import ResultTable
@@ -43,7 +43,7 @@ def event_stream(spark, folder, batches, columns="key string, t timestamp, v dou
         path = folder / f"{i}.parquet"
         pdf.to_parquet(path)
         os.utime(path, (1_700_000_000 + i, 1_700_000_000 + i))
-    return parquet_files(spark, str(folder), schema, per_batch=1)
+    return parquet_table(spark, str(folder), schema, per_batch=1)
 
 
 LINES = (["hi there"], ["hi bob", "Hi "])
@@ -152,6 +152,83 @@ def test_enrich(spark, tmp_path):
     assert rows(ResultTable(windows.enrich(lines), "append").run().select("value")) == [("BOB,TIM,FB,10.0,1",)]
 
 
+# ------------------------------------------------------------------ tables and their files
+
+
+def split_tables(spark, sf_dir, folder, parts):
+    """Links to all tables, with those that streams read as folders of ``parts`` files."""
+    import os
+
+    folder.mkdir()
+    for name in os.listdir(sf_dir):
+        if name.split(".")[0] in ("documents", "events", "conversations") and parts:
+            spark.read.parquet(f"{sf_dir}/{name}").repartition(parts).write.parquet(str(folder / name))
+        else:
+            os.symlink(f"{sf_dir}/{name}", folder / name)
+    return str(folder)
+
+
+STREAMS = sorted(n for n in __import__("__spark_entry__").queries() if n.startswith("stream_"))
+
+
+@pytest.fixture(scope="module")
+def as_folders(spark, sf_dir, tmp_path_factory):
+    return split_tables(spark, sf_dir, tmp_path_factory.mktemp("tables") / "split", 3)
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_folder_tables_give_the_same_rows(spark, sf_dir, as_folders, name):
+    query = __import__("__spark_entry__").queries()[name]
+    got = rows(query(spark, as_folders))
+    assert got and got == rows(query(spark, sf_dir))
+
+
+def test_several_batches_from_a_folder_table(spark, sf_dir, as_folders):
+    path, one = f"{as_folders}/events.parquet", f"{sf_dir}/events.parquet"
+    schema = spark.read.parquet(one).schema
+    count = lambda df: df.groupBy("event_type").count()
+    got = ResultTable(count(parquet_table(spark, path, schema, per_batch=1)), "update", keys=["event_type"])
+    assert rows(got.run()) == rows(count(spark.read.parquet(one))) and got.last >= 2
+
+
+def test_missing_table_raises(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        parquet_table(spark, str(tmp_path / "none.parquet"), spark.range(1).schema)
+
+
+def test_named_table_can_be_polled_before_the_first_batch(spark, tmp_path):
+    lines = text_stream(spark, tmp_path / "in", *LINES)
+    table = ResultTable(counts.word_counts(lines), "complete", name="early_counts")
+    assert spark.sql("SELECT * FROM early_counts").columns == ["word", "n"]
+    table.run()
+    assert ("hi", 3) in rows(spark.sql("SELECT * FROM early_counts"))
+
+
+@pytest.mark.parametrize("mode", ["update", "append"])
+def test_many_batches_are_read_from_few_folders(spark, tmp_path, mode):
+    stream = text_stream(spark, tmp_path / "in")
+    table = ResultTable(stream, mode, keys=["value"] if mode == "update" else [], path=str(tmp_path / "out"))
+    n = 70
+    for i in range(n):
+        table._write(spark.createDataFrame([(f"w{i % 10}",)], "value string").coalesce(1), i)
+    assert len(table.folders) <= 14
+    got = rows(table.read().select("value"))
+    assert got == sorted((f"w{i}",) for i in range(10)) if mode == "update" else len(got) == n
+    again = ResultTable(stream, mode, keys=table.keys, path=table.path)
+    assert again.last == n - 1 and rows(again.read().select("value")) == got
+
+
+def test_reader_sees_whole_batches_only(spark, tmp_path):
+    stream = text_stream(spark, tmp_path / "in")
+    table = ResultTable(stream, "append", path=str(tmp_path / "out"))
+    table._write(spark.createDataFrame([("a",)], "value string"), 0)
+    table._save(spark.createDataFrame([("half", 1)], "value string, batch_id int"))  # an attempt that died
+    assert rows(ResultTable(stream, "append", path=table.path).read().select("value")) == [("a",)]
+    table._write(spark.createDataFrame([("b",)], "value string"), 1)
+    table._write(spark.createDataFrame([("b",)], "value string"), 1)
+    assert rows(table.read().select("value")) == [("a",), ("b",)]
+
+
 # ------------------------------------------------------------------ sessions
 
 
@@ -204,7 +281,8 @@ def test_sessions_close_behind_the_watermark(spark, tmp_path):
     got, table = run_sessions(stream, watermark="20 seconds")
     seen = [(r["key"], (r["session_start"] - T0).total_seconds(), r["events"]) for r in got.collect()]
     assert sorted(seen) == [("a", 0, 2), ("a", 1100, 1), ("b", 1000, 2)]
-    history = spark.read.parquet(table.path).where("key = 'b'").orderBy("batch_id").collect()
+    written = spark.read.parquet(*[folder for _, folder in table.folders])
+    history = written.where("key = 'b'").orderBy("batch_id").collect()
     assert [(r["events"], r["is_new"]) for r in history] == [(1, True), (2, False)]
 
 
