@@ -6,12 +6,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.parse import parse_messages
+from ..operators import sessions
+from ..sources.sinks import text_batches
 from ..sources.streams import parquet_table
+from ..storage import new_path
 from ..streaming import counts, windows
 from ..streaming.sessions import current_sessions, session_table, session_updates
 from ..streaming.tables import ResultTable
-from .batch import SESSIONS
-from .tables import message_lines, table, text_lines
+from .batch import GAP, ORDER, SESSIONS, USER
+from .batch import ORACLES as BATCH_SQL
+from .tables import log_line, message_lines, table, text_lines
 
 QUERIES = {}
 ORACLES = {}
@@ -118,3 +123,41 @@ def stream_log_sessions(spark, sf_dir):
         F.col("session_end").cast("timestamp_ntz").alias("session_end"),
         "events",
     )
+
+
+@query("""select event_type as ticker, cast(user_id + 1 as varchar) as "destUser", round(sum(price), 6) as total_price,
+  round(avg(price), 6) as avg_price from (select *, cast(cast(value as decimal(18, 2)) as double) as price from events
+  where event_type not in ('error', 'signup')) group by 1, 2""")
+def stream_ticker_messages(spark, sf_dir):
+    messages = parse_messages(message_lines(_stream(spark, sf_dir, "events")))
+    out = ResultTable(counts.ticker_sums(messages), "complete").run()
+    return out.withColumns({c: F.round(c, 6) for c in ("total_price", "avg_price")})
+
+
+@query("""select w as window_start, w + interval 30 second as window_end, event_type as ticker, max(t) as max_time,
+  round(sum(price), 6) as total_price, round(avg(price), 6) as avg_price, count(*) as trades
+from (select *, unnest([time_bucket(interval 5 second, t) - i * interval 5 second for i in range(0, 6)]) as w
+  from (select event_type, cast(cast(value as decimal(18, 2)) as double) as price, date_trunc('second', ts) as t
+    from events where event_type not in ('error', 'signup'))) group by 1, 2, 3""")
+def stream_ingest_window(spark, sf_dir):
+    """Messages are timed by their receipt; here that is the event's time, as the table has no other."""
+    lines = message_lines(_stream(spark, sf_dir, "events")).withColumn("timestamp", F.col("ts").cast("timestamp"))
+    report = windows.ingest_window_trades(lines, "timestamp", watermark="3650 days")
+    out = ResultTable(report, "update", keys=["window_start", "window_end", "ticker"]).run()
+    zoneless = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end", "max_time")}
+    return out.withColumns({**zoneless, **{c: F.round(c, 6) for c in ("total_price", "avg_price")}})
+
+
+@query(f"select value from ({BATCH_SQL['sessionized_events']})")
+def stream_session_text(spark, sf_dir):
+    """Each batch's events with the start of their session, as text in a folder of its own."""
+    events = _stream(spark, sf_dir, "events").select("event_id", "ts", "user_id", log_line().alias("line"))
+    path = new_path(spark, "session-text")
+    write = text_batches(path)
+
+    def lines(batch, batch_id):
+        write(sessions.session_lines(batch, USER, ORDER, F.expr(GAP), F.col("line")), batch_id)
+
+    stream = events.writeStream.option("checkpointLocation", new_path(spark, "stream-state"))
+    stream.trigger(availableNow=True).foreachBatch(lines).start().awaitTermination()
+    return spark.read.text(path).select("value")
