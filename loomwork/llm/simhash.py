@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..storage import cut_lineage
 from .components import components
-from .texts import as_bytes, map_batches
+from .texts import as_bytes, give_back, map_batches
 
 BITS = 64
 SEED = 42
@@ -244,6 +244,7 @@ def close_links(fps: DataFrame, max_bits: int = 3, blocks: int = 2, shard_rows:
         metric = shared.value[key[0]].metric
         x = rows["fp"].to_numpy().view(np.uint64)
         a, b = shard_links(x, rows["home"].to_numpy(), metric, max_bits)
+        give_back()
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     sent = fps.select("fp").mapInArrow(send, "tree int, shard int, fp long, home boolean")

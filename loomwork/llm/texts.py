@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+_LIBC = ctypes.CDLL(None)
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 
 
@@ -78,10 +80,18 @@ def map_batches(
                 out = fn(part)
                 if out is not None:
                     yield out
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return memory that is free to the system: Python workers live on after a task, for other operators."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(_LIBC, "malloc_trim", None):
+        trim(0)
+
+
 def pieces(batch: pa.RecordBatch, rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``rows`` rows, which bounds memory; no row is left out."""
     for start in range(0, batch.num_rows, rows):

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..storage import cut_lineage, new_path
-from .texts import pieces
+from .texts import give_back, pieces
 
 # The file format.
 MAGIC = b"DACTOK01"
@@ -40,22 +40,22 @@ WIDTHS = (8, 8, 16)  # bits of each level's chunks
 
 def encode_levels(ids: np.ndarray, widths: tuple[int, ...] = WIDTHS) -> list[dict[str, np.ndarray]]:
     """Chunks, bitmap and rank directory of each level."""
-    rest, levels = ids.astype(np.uint64), []
+    rest, levels = ids.astype(np.uint32, copy=False), []
     for i, width in enumerate(widths):
-        chunks = (rest & np.uint64((1 << width) - 1)).astype(np.uint8 if width <= 8 else np.uint16 if width <= 16 else np.uint32)
+        kind = np.uint8 if width <= 8 else np.uint16 if width <= 16 else np.uint32
+        chunks = (rest & np.uint32((1 << width) - 1)).astype(kind)
         if i == len(widths) - 1:
-            if (rest >> np.uint64(width)).any():
+            if width < 32 and (rest >> np.uint32(width)).any():
                 raise ValueError(f"an id needs more than {sum(widths)} bits")
             levels.append({"chunks": chunks, "bits": np.zeros(0, np.uint8), "ranks": np.zeros(0, np.uint64)})
             break
-        more = rest >> np.uint64(width)
-        on = more != 0
+        on = rest >= np.uint32(1 << width)
         padded = np.zeros(-(-len(on) // RANK_BLOCK) * RANK_BLOCK, bool)
         padded[: len(on)] = on
         per_block = padded.reshape(-1, RANK_BLOCK).sum(axis=1)
         ranks = np.concatenate([[0], np.cumsum(per_block)]).astype(np.uint64)
         levels.append({"chunks": chunks, "bits": np.packbits(padded, bitorder="little"), "ranks": ranks})
-        rest = more[on]
+        rest = rest[on] >> np.uint32(width)
     return levels
 
 
@@ -163,7 +163,7 @@ class PieceEncoder:
     until there are ``remember`` of them; then it starts afresh.
     """
 
-    def __init__(self, path: str, remember: int = 1_000_000, joined_chars: int = 1 << 10):
+    def __init__(self, path: str, remember: int = 250_000, joined_chars: int = 1 << 10):
         self.tokenizer = Tokenizer.from_file(path)
         self.remember, self.joined_chars = remember, joined_chars
         vocabulary = self.tokenizer.get_vocab()  # a character of a token is a byte of text
@@ -258,7 +258,7 @@ class Layout:
     """``end_id`` is appended to every document; a file is closed once it has ``file_tokens``."""
 
     end_id: int = 0
-    file_tokens: int = 8_000_000
+    file_tokens: int = 4_000_000
     widths: tuple[int, ...] = WIDTHS
 
 
@@ -294,8 +294,10 @@ def write_tokens(
         def close() -> pa.RecordBatch:
             name = f"{base}/{part:06d}-{seq:06d}-{uuid.uuid4().hex}.dac"
             bounds = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+            every = np.concatenate(tokens)
+            tokens.clear()
             with fs.open_output_stream(name) as out:
-                write_file(out, ids, bounds, np.concatenate(tokens), layout.widths)
+                write_file(out, ids, bounds, every, layout.widths)
             cells = ([part], [seq], [name], [len(ids)], [int(bounds[-1])])
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cells, (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
@@ -317,6 +319,7 @@ def write_tokens(
                     ids, tokens, sizes, held, seq = [], [], [], 0, seq + 1
         if ids:
             yield close()
+        give_back()
 
     written = sorted_rows.mapInArrow(save, "part int, seq int, path string, n_docs long, n_tokens long")
     manifest = cut_lineage(written)
@@ -325,7 +328,7 @@ def write_tokens(
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
-def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
+def read_tokens(manifest: DataFrame, folder: str, tokens_per_task: int = 16_000_000) -> DataFrame:
     """Per document from the files: ``doc_id, start, n_tokens, ids_crc32, ids binary``.
 
     ``ids`` are little-endian unsigned 32-bit integers; Spark does not ask for
@@ -354,7 +357,8 @@ def read_tokens(manifest: DataFrame, folder: str) -> DataFrame:
                             ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
                         )
 
-    files = manifest.select("path", "start").repartition(F.col("path"))
+    total = manifest.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n")).first().n
+    files = manifest.select("path", "start", "part", "seq").repartition(total // tokens_per_task + 1, "part", "seq")
     return files.mapInArrow(load, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary")
 
 
