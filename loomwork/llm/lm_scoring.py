@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .texts import SPACED_LOWER, Words, as_bytes, words_of
+from .texts import SPACED_LOWER, Words, as_bytes, give_back, words_of
 
 
 @dataclass(frozen=True)
@@ -20,15 +20,18 @@ class Settings:
 
     ``prior`` is how many observations the unigram model counts for in every
     context, and the background unigram model in the target's.  ``chunk_bytes``
-    of text are counted and scored together.
+    of text are counted and scored together, and ``chunks_per_shard`` chunks'
+    worth of keys are summed up together.
     """
 
     prior: float = 10.0
     unigram_prior: float = 1000.0
-    chunk_bytes: int = 16 << 20
+    chunk_bytes: int = 4 << 20
+    chunks_per_shard: int = 4
     seed: int = 42
 
 
+KEY_BYTES = 6  # of a key; among 10**10 keys one in 28,000 meets another
 _START = np.uint64(0x5851F42D4C957F2D)  # stands before the first word of every text
 
 
@@ -63,28 +66,42 @@ def _sum_by_key(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]
     return keys[begins], *(np.add.reduceat(c[order], begins) if len(keys) else c for c in counts)
 
 
-def count(texts: list[bytes], in_target: np.ndarray, seed: int) -> tuple[np.ndarray, ...]:
+def short(keys: np.ndarray) -> np.ndarray:
+    return keys >> np.uint64(64 - 8 * KEY_BYTES)
+
+
+def count(words: Words, in_target: np.ndarray, seed: int) -> tuple[np.ndarray, ...]:
     """Keys of words, starts and pairs in the texts: how often in target texts, and in all."""
-    words = words_of(texts, SPACED_LOWER)
     keys = word_keys(words, seed)
-    target = in_target[words.owner].astype(np.int64)
+    target = in_target[words.owner].astype(np.int32)
     full = words.lengths > 0
-    every = np.concatenate([keys, pair_keys(contexts(words, keys), keys), np.full(full.sum(), _START)])
-    of_target = np.concatenate([target, target, in_target[full].astype(np.int64)])
-    return _sum_by_key(every, of_target, np.ones(len(every), np.int64))
+    every = short(np.concatenate([keys, pair_keys(contexts(words, keys), keys), np.full(full.sum(), _START)]))
+    of_target = np.concatenate([target, target, in_target[full].astype(np.int32)])
+    return _sum_by_key(every, of_target, np.ones(len(every), np.int32))
+
+
+def planes(x: np.ndarray, n_bytes: int) -> bytes:
+    """The low bytes of all numbers, then the next ones and so on; the upper ones, mostly zero, pack well."""
+    return np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :n_bytes].T.tobytes()
+
+
+def numbers(data: bytes, n_bytes: int) -> np.ndarray:
+    out = np.zeros((len(data) // n_bytes, 8), np.uint8)
+    out[:, :n_bytes] = np.frombuffer(data, np.uint8).reshape(n_bytes, -1).T
+    return out.view("<u8").ravel()
 
 
 class Model:
     """Counts of both corpora for some keys."""
 
     def __init__(self, keys: np.ndarray, target: np.ndarray, background: np.ndarray, n_target: int, n_background: int):
-        order = np.argsort(keys)
-        self.keys, self.counts = keys[order], (target[order], background[order])
+        self.keys, self.counts = keys, (target, background)  # keys in order
         self.totals = n_target, n_background
 
     def look_up(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.keys):
             return np.zeros(len(keys)), np.zeros(len(keys))
+        keys = short(keys)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         known = self.keys[at] == keys
         return tuple(np.where(known, c[at], 0).astype(float) for c in self.counts)
@@ -108,7 +125,6 @@ class Model:
         return -np.log(target), -np.log(background)
 
 
-_COUNTS = "shard int, chunk int, keys binary, target binary, background binary"
 _FIELDS = (
     StructField("n_tokens", LongType()), StructField("target_loss", DoubleType()),
     StructField("background_loss", DoubleType()), StructField("score", DoubleType()),
@@ -119,10 +135,6 @@ def _column(table: pa.Table, name: str) -> list:
     return table.column(name).combine_chunks().to_pylist()
 
 
-def _joined(blobs: list[bytes], kind) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), kind)
-
-
 def difference(
     docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = Settings()
 ) -> DataFrame:
@@ -137,9 +149,9 @@ def difference(
 
     Text is put into chunks by hash of id once, and stays there.  Each chunk
     counts its distinct words and pairs and sends them, packed, to shards of
-    the key space; shards sum them up and send every chunk the sums of its own
-    keys, with which it scores its texts.  No table of all keys is anywhere in
-    one place, and a frequent pair is one entry for each chunk.
+    the key space; shards sum them up and send every chunk the sums for its own
+    keys, in their order, with which it scores its texts.  No table of all keys
+    is anywhere in one place, and a frequent pair is one entry for each chunk.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -154,33 +166,44 @@ def difference(
     chunk = F.pmod(F.xxhash64("id"), F.lit(n_chunks)).cast("int").alias("chunk")
     texts, ids = rows.select("id", "text", chunk), wanted.select("id", chunk)
 
-    def count_chunk(key: tuple, docs_of: pa.Table, target_of: pa.Table) -> pa.Table:
-        marked = set(_column(target_of, "id"))
+    n_shards = n_chunks // settings.chunks_per_shard + 1
+
+    def counted(docs_of: pa.Table, target_of: pa.Table) -> tuple:
+        words = words_of(as_bytes(docs_of.column("text").combine_chunks()), SPACED_LOWER)
+        marked = set(_column(target_of, "id")) if target_of is not None else set()
         in_target = np.array([i in marked for i in _column(docs_of, "id")], bool)
-        keys, t, b = count(as_bytes(docs_of.column("text").combine_chunks()), in_target, settings.seed)
-        shard = (keys >> np.uint64(32)).astype(np.int64) * n_chunks >> 32  # in order of the keys
+        return words, *count(words, in_target, settings.seed)
+
+    def count_chunk(key: tuple, docs_of: pa.Table, target_of: pa.Table) -> pa.Table:
+        give_back()
+        _, keys, t, b = counted(docs_of, target_of)
+        shard = (keys >> np.uint64(8 * KEY_BYTES - 32)).astype(np.int64) * n_shards >> 32  # in order of the keys
         shards, begins = np.unique(shard, return_index=True)
-        blobs = [[x.tobytes() for x in np.split(c, begins[1:])] if len(keys) else [] for c in (keys, t.astype(np.uint32), b.astype(np.uint32))]
+        cuts = [slice(i, j) for i, j in zip(begins, [*begins[1:], len(keys)])]
+        blobs = (
+            [planes(np.diff(keys[c], prepend=np.uint64(0)), KEY_BYTES) for c in cuts],
+            [planes(t[c], 4) for c in cuts], [planes(b[c], 4) for c in cuts],
+        )
         return pa.table([pa.array(shards, pa.int32()), pa.array([key[0].as_py()] * len(shards), pa.int32()), *(pa.array(x, pa.binary()) for x in blobs)],
                         names=["shard", "chunk", "keys", "target", "background"])
 
     def sum_shard(key: tuple, parts: pa.Table) -> pa.Table:
-        blobs = _column(parts, "keys")
-        keys = _joined(blobs, np.uint64)
-        t, b = (_joined(_column(parts, c), np.uint32).astype(np.int64) for c in ("target", "background"))
+        give_back()
+        each = [np.cumsum(numbers(x, KEY_BYTES)) for x in _column(parts, "keys")]
+        t, b = (np.concatenate([numbers(x, 4) for x in _column(parts, c)]).astype(np.int64) for c in ("target", "background"))
+        keys = np.concatenate(each)
         distinct, t, b = _sum_by_key(keys, t, b)
-        at = np.searchsorted(distinct, keys)
-        cuts = np.cumsum([len(x) // 8 for x in blobs])[:-1]
-        sums = [[x.tobytes() for x in np.split(c[at], cuts)] for c in (t, b)]
-        return pa.table([parts.column("chunk"), pa.array(blobs, pa.binary()), *(pa.array(s, pa.binary()) for s in sums)],
-                        names=["chunk", "keys", "target", "background"])
+        at, cuts = np.searchsorted(distinct, keys), np.cumsum([len(x) for x in each])[:-1]
+        sums = [[planes(x, 6) for x in np.split(c[at], cuts)] for c in (t, b)]
+        return pa.table([parts.column("chunk"), parts.column("shard"), *(pa.array(s, pa.binary()) for s in sums)],
+                        names=["chunk", "shard", "target", "background"])
 
     def score_chunk(key: tuple, docs_of: pa.Table, sums: pa.Table) -> pa.Table:
-        model = Model(
-            _joined(_column(sums, "keys"), np.uint64), _joined(_column(sums, "target"), np.int64),
-            _joined(_column(sums, "background"), np.int64), n_target, n_all,
-        )
-        words = words_of(as_bytes(docs_of.column("text").combine_chunks()), SPACED_LOWER)
+        give_back()
+        words, keys, _, _ = counted(docs_of, None)
+        sums = sums.sort_by("shard")
+        totals = [np.concatenate([np.zeros(0, np.uint64), *(numbers(x, 6) for x in _column(sums, c))]) for c in ("target", "background")]
+        model = Model(keys, *totals, n_target, n_all)
         n, out = words.lengths, []
         for loss in model.losses(words, settings):
             mean, full = np.zeros(len(n)), np.flatnonzero(n)
@@ -190,8 +213,10 @@ def difference(
         return pa.table([docs_of.column("id"), pa.array(n), pa.array(out[0]), pa.array(out[1]), pa.array(out[0] - out[1])],
                         names=[id_col, *(f.name for f in _FIELDS)])
 
-    counts = texts.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(count_chunk, _COUNTS)
-    sums = counts.groupBy("shard").applyInArrow(sum_shard, "chunk int, keys binary, target binary, background binary")
+    counts = texts.groupBy("chunk").cogroup(ids.groupBy("chunk")).applyInArrow(
+        count_chunk, "shard int, chunk int, keys binary, target binary, background binary"
+    )
+    sums = counts.groupBy("shard").applyInArrow(sum_shard, "chunk int, shard int, target binary, background binary")
     return texts.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(
         score_chunk, StructType([StructField(id_col, LongType()), *_FIELDS])
     )
