@@ -66,7 +66,13 @@ def targets(sizes: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return levels.select("source", "source_size", target.alias("target"))
 
 
-_SIZE, _HASH, _BIN = "__size", "__hash", "__bin"  # beside all columns of a caller's table
+_SIZE, _HASH = "__size", "__hash"  # beside all columns of a caller's table
+_KEY = ("__name", "__none", "__bin")  # source, whether it is null, and bin
+
+
+def _key(source: Column, number: Column, more: str = "") -> list[Column]:
+    parts = F.coalesce(source.cast("string"), F.lit("")), source.isNull(), number
+    return [c.alias(name + more) for c, name in zip(parts, _KEY)]
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", mix: Mix = Mix()) -> DataFrame:
@@ -87,14 +93,15 @@ def plan(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", te
     before = Window.partitionBy("s.source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
     placed = summed.alias("s").join(sources.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).select(
-        F.col("s.source").alias("__s"), F.col("bin").alias("__b"), F.col("source_size").alias("__source_size"),
+        *_key(F.col("s.source"), F.col("bin"), "2"), F.col("source_size").alias("__source_size"),
         F.col("target").alias("__target"), whole.alias("__whole"),
         F.round(F.col("target") - whole * F.col("source_size")).cast("long").alias("__extra"),
         F.coalesce(F.sum("bin_size").over(before), F.lit(0)).alias("__before"),
     )
-    rows = rows.withColumn(_BIN, bin_of(_HASH))
-    joined = rows.join(placed, F.col(source_col).eqNullSafe(F.col("__s")) & (F.col(_BIN) == F.col("__b")))
-    inside = Window.partitionBy("__s", "__b").orderBy(_HASH, _SIZE).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select("*", *_key(F.col(source_col), bin_of(_HASH)))
+    # by the very columns of the window, so that the rows move once for both
+    joined = rows.join(placed, [rows[c] == placed[f"{c}2"] for c in _KEY])
+    inside = Window.partitionBy(*_KEY).orderBy(_HASH, _SIZE).rowsBetween(Window.unboundedPreceding, -1)
     left = F.col("__extra") - F.col("__before") - F.coalesce(F.sum(_SIZE).over(inside), F.lit(0))
     part = F.greatest(F.lit(0), F.least(left, F.col(_SIZE)))
     return joined.withColumn("__part", part).withColumn("__taken", F.col("__whole") * F.col(_SIZE) + F.col("__part"))
