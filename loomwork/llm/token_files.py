@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -139,17 +140,25 @@ class TokenFile:
 # whatever stands before it, so texts can be cut there and put together there.
 _CUT = regex.compile(r" (?=[\p{L}\p{N}\p{P}\p{S}])")
 _PLAIN = regex.compile(r"[\p{L}\p{N}\p{P}\p{S}]")
-_FIRST = "\0"  # marks the beginning of a text, which has no space before it
+
+
+class _First(NamedTuple):
+    """The piece a text begins with, which has no space before it; no piece of a text equals it."""
+
+    piece: str
+
+
+Piece = str | _First
 
 
 class _Places(dict):
     """Numbers pieces in the order of their coming."""
 
     def __init__(self):
-        self.new: list[str] = []
+        self.new: list[Piece] = []
         self.count = 0
 
-    def __missing__(self, piece: str) -> int:
+    def __missing__(self, piece: Piece) -> int:
         self[piece] = place = self.count
         self.count += 1
         self.new.append(piece)
@@ -179,10 +188,10 @@ class PieceEncoder:
     def _tokens(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[Piece]) -> None:
         """Encode new pieces: those after a space together, cut apart by their bytes."""
-        at_first = np.fromiter((p[:1] == _FIRST for p in new), bool, len(new))
-        inner = [p for p in new if p[:1] != _FIRST]
+        at_first = np.fromiter((isinstance(p, _First) for p in new), bool, len(new))
+        inner = [p for p in new if isinstance(p, str)]
         per = max(1, self.joined_chars * len(inner) // max(1, sum(map(len, inner))))
         joined = [" " + " ".join(inner[i : i + per]) for i in range(0, len(inner), per)]
         ids = np.fromiter(chain.from_iterable(self._tokens(joined)), np.uint32)
@@ -191,7 +200,7 @@ class PieceEncoder:
         places = np.searchsorted(token_ends, piece_ends)
         if len(inner) and not np.array_equal(token_ends[places], piece_ends):
             raise ValueError("a token reaches over two pieces: not a byte-level tokenizer")
-        alone = self._tokens([p.removeprefix(_FIRST) for p in new if p[:1] == _FIRST])
+        alone = self._tokens([p.piece for p in new if isinstance(p, _First)])
         sizes = np.zeros(len(new), np.int64)
         sizes[~at_first], sizes[at_first] = np.diff(places + 1, prepend=0), [len(e) for e in alone]
         both = np.zeros(sizes.sum(), np.uint32)
@@ -199,7 +208,7 @@ class PieceEncoder:
         both[~from_alone], both[from_alone] = ids, np.fromiter(chain.from_iterable(alone), np.uint32)
         self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, both])
 
-    def _number(self, cut: list[list[str]]) -> np.ndarray:
+    def _number(self, cut: list[list[Piece]]) -> np.ndarray:
         return np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,12 +217,12 @@ class PieceEncoder:
             self._forget()
         cut = []
         for text in texts:
-            parts = text.split(" ")
-            parts[0] = _FIRST + parts[0]
+            parts: list[Piece] = text.split(" ")
+            parts[0] = _First(parts[0])
             cut.append(parts)
         used = self._number(cut)
         if self.place.new:
-            odd = {p for p in self.place.new if not (p[:1].isalpha() or p[:1] == _FIRST or _PLAIN.match(p))}
+            odd = {p for p in self.place.new if isinstance(p, str) and not (p[:1].isalpha() or _PLAIN.match(p))}
             if odd:  # spaces that don't begin a piece; these are never remembered
                 cut = [p if odd.isdisjoint(p) else self._cut_with_care(t) for t, p in zip(texts, cut)]
                 self.place.new = [p for p in self.place.new if p not in odd]
@@ -231,9 +240,9 @@ class PieceEncoder:
         return flat, np.diff(text_ends, prepend=0)
 
     @staticmethod
-    def _cut_with_care(text: str) -> list[str]:
-        parts = _CUT.split(text)
-        parts[0] = _FIRST + parts[0]
+    def _cut_with_care(text: str) -> list[Piece]:
+        parts: list[Piece] = _CUT.split(text)
+        parts[0] = _First(parts[0])
         return parts
 
     def _renumber(self) -> None:

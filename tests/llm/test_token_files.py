@@ -64,6 +64,15 @@ def test_pieces_equal_whole_texts(texts):
     assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == want
 
 
+@pytest.mark.parametrize("text", ["a \0b", "a \0", "\0", "\0a b", "a \0 \0b\0 c", "b \0\0b b", " \0b"])
+def test_nul(text):
+    # each by itself, then beside a text that begins with what follows the NUL
+    for texts in ([text], [text, "b", ""], ["b a", text]):
+        flat, n = tf.PieceEncoder(PATH).encode(texts)
+        want = [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in np.split(flat, np.cumsum(n)[:-1])] == want
+
+
 def test_forgetful_encoder():
     e = tf.PieceEncoder(PATH, remember=3)
     for text in ("one two three four five", "one <|endoftext|> two", "six"):
