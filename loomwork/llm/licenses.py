@@ -144,6 +144,14 @@ class Index:
             plain = [w.as_py() for w in words.types.take(pa.array(words.codes))]
             self.templates.append(Template(name, plain, shingles, run))
         self.levels = [levels[s] for s in sorted(levels)]
+        # licenses of which one's text alone would pass for the other's
+        self.rivals = {
+            (a.name, b.name)
+            for a in self.templates
+            for b in self.templates
+            if a.name != b.name
+            and len(np.intersect1d(a.shingles, b.shingles)) >= settings.contained * min(len(a.shingles), len(b.shingles)) - 1e-12
+        }
         rng = np.random.default_rng(settings.seed)
         n = max(level.bands for level in self.levels) * settings.rows
         self.odd = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -262,6 +270,20 @@ def _fullest(matches: list[Match]) -> list[Match]:
     return sorted(kept, key=lambda m: (m.first_word, m.license))
 
 
+def decided(matches: list[Match], index: Index) -> list[Match]:
+    """Without matches that a fuller one of a rival license overlaps by half or more; equally full ones stay."""
+    kept: list[Match] = []
+    for m in sorted(matches, key=lambda m: -m.containment):
+        if not any(
+            (k.license, m.license) in index.rivals
+            and k.containment > m.containment + 1e-12
+            and 2 * (min(k.first_word + k.n_words, m.first_word + m.n_words) - max(k.first_word, m.first_word)) >= min(k.n_words, m.n_words)
+            for k in kept
+        ):
+            kept.append(m)
+    return sorted(kept, key=lambda m: (m.first_word, m.license))
+
+
 _MATCH = StructType([
     StructField("license", StringType()), StructField("containment", DoubleType()),
     StructField("first_word", LongType()), StructField("n_words", LongType()),
@@ -275,7 +297,8 @@ def scan(
 
     ``licenses`` are the names found, sorted and comma-joined (empty if none),
     and ``matches`` says where in the text's words each was found and how much
-    of its template.  Null and empty texts, and those shorter than a shingle,
+    of its template.  Of licenses that differ in few words, such as versions,
+    the fullest at a place counts.  Null and empty texts, and those shorter than a shingle,
     have no match; repeated rows get equal results; other columns are not
     looked at.  Nothing is shuffled: templates are few and fixed.
     """
@@ -284,7 +307,7 @@ def scan(
     kind = pa.list_(pa.struct([("license", pa.string()), ("containment", pa.float64()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = find(as_bytes(batch.column(1)), index)
+        found = [decided(m, index) for m in find(as_bytes(batch.column(1)), index)]
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0), pa.array([len(m) for m in found], pa.int64()),

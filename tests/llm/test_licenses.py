@@ -88,3 +88,13 @@ def test_query(spark, sf_dir):
     want = {r.doc_id: ",".join(sorted(slow(r.text))) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     got = {r.doc_id: r.licenses for r in op9_licenses(spark, sf_dir).collect()}
     assert got == want and any(want.values())
+
+
+def test_own_name_only(spark):
+    rows = [(i, f"before it {t} and after it") for i, (_, t) in enumerate(lic.TEMPLATES)]
+    gpl = {name: [t for n, t in lic.TEMPLATES if n == name] for name in ("GPL-2.0", "GPL-3.0")}
+    rows += [(100, f"{gpl['GPL-2.0'][1]} {gpl['GPL-3.0'][1]}"), (101, gpl["GPL-2.0"][1].replace("version 2", "version 9"))]
+    rows += [(102, gpl["GPL-2.0"][1].replace("can redistribute", "can share") + " " + gpl["GPL-3.0"][1])]
+    got = {r.doc_id: r.licenses for r in lic.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    both = "GPL-2.0,GPL-3.0"
+    assert got == {**{i: name for i, (name, _) in enumerate(lic.TEMPLATES)}, 100: both, 101: both, 102: both}
