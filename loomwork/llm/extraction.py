@@ -80,10 +80,11 @@ class Block:
 
 def _kind(tag: str, attributes: str) -> tuple[bool, bool, bool]:
     """Whether an element is hidden, site furniture, or the main part."""
-    names = {w.lower() for m in _NAMES.findall(attributes) for w in _PARTS.findall(m)} if "=" in attributes else set()
+    names = [{w.lower() for w in _PARTS.findall(n)} for m in _NAMES.findall(attributes) for n in m.split()] if "=" in attributes else []
     hidden = tag in HIDDEN or bool(attributes and _HIDDEN_ATTRIBUTE.search(attributes))
-    main = tag in MAIN or bool(names & MAIN_NAMES)
-    furniture = tag in SITE or (tag not in ("html", "body") and not main and bool(names & FURNITURE))
+    # in one compound name, such as article-comments, furniture wins
+    main = tag in MAIN or any(n & MAIN_NAMES and not n & FURNITURE for n in names)
+    furniture = tag in SITE or (tag not in ("html", "body") and not main and any(n & FURNITURE for n in names))
     return hidden, furniture, main
 
 

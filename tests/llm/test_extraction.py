@@ -75,3 +75,11 @@ def test_query(spark):
     got = op4_extraction(spark, sf_dir).collect()
     assert len(got) == len(want)
     assert all(r.text == want[r.page_id] and r.n_chars == len(r.text) for r in got)
+
+
+@pytest.mark.parametrize("name", ["article-comments", "main-sidebar", "article-notice", "main_nav top", "wide article-related"])
+def test_compound_names(name):
+    for attribute in ("class", "id"):
+        page = f"<div class='article-body'><p>{MORE}</p></div><div {attribute}='{name}'><p>{PROSE}</p></div>"
+        assert extraction.main_text(page) == MORE
+        assert extraction.main_text(f"<main><p>{MORE}</p><div {attribute}='{name}'>{PROSE}</div></main>") == MORE
