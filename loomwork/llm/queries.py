@@ -6,7 +6,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, extraction, licenses, lm_scoring, mixing, passages, quality_rules, simhash, token_files, warc
+from . import (
+    decontaminate, extraction, fill_middle, licenses, lm_scoring, mixing, passages, quality_rules, simhash, token_files,
+    vector_codes, warc,
+)
 
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
 
@@ -71,6 +74,16 @@ def op10_decontaminate(spark, sf_dir):
     return decontaminate.inspect(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    """Codes and errors of every vector that has finite components only."""
+    return vector_codes.coded(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_middle(spark, sf_dir):
+    """Form, cuts and check sums of every document made ready for filling in its middle."""
+    return fill_middle.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_files": op2_token_files,
@@ -82,6 +95,8 @@ QUERIES = {
     "op8_passages": op8_passages,
     "op9_licenses": op9_licenses,
     "op10_decontaminate": op10_decontaminate,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_fill_middle": op12_fill_middle,
 }
 
 _WHITE = r"[ \t\n\x0B\f\r]"
@@ -204,4 +219,60 @@ select doc_id, len(ws)::bigint as n_tokens, round(coalesce(lt, 0), 6) as target_
   round(coalesce(lt - lb, 0), 6) as score from d left join s using (r)
 """
 
-ORACLES = {"op5_lm_scoring": _LM_SQL, "op6_warc": _WARC_SQL, "op3_mixing": _MIX_SQL, "op1_quality_rules": _QUALITY_SQL, "op10_decontaminate": _BENCHMARK_SQL}
+_CODING = vector_codes.Coding()
+
+
+def _vector_sql() -> str:
+    """The same rounds over one row for each part of a vector, with all distances in all of them."""
+    n = _CODING.parts
+
+    def assigned(r: int) -> str:
+        dist = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+        return f"""a{r} as materialized (select r, p, x, (arg_min(struct_pack(e := e, d := d), (d, e))).e as e, min(d) as d
+  from (select r, p.p, x, e, {dist} as d from p join c{r} on p.p = c{r}.p) group by r, p, x)"""
+
+    def moved(r: int) -> str:
+        return f"""m{r} as materialized (select p, e, list(v order by i) as c from (select p, e, i, floor(sum(x[i])::hugeint / count(*))::bigint as v
+    from (select p, e, x, unnest(range(1, len(x) + 1)) as i from a{r}) group by p, e, i) group by p, e),
+c{r + 1} as materialized (select c{r}.p, c{r}.e, coalesce(m{r}.c, c{r}.c) as c from c{r} left join m{r} on c{r}.p = m{r}.p and c{r}.e = m{r}.e)"""
+
+    rounds = ",\n".join(f"{assigned(r)},\n{moved(r)}" for r in range(_CODING.rounds))
+    last = _CODING.rounds
+    return f"""
+with v as (select row_number() over (order by vec_id nulls last, embedding) as r, vec_id, label,
+    list_transform(embedding, lambda x: floor({_CODING.scale} * x::double)::bigint) as x from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as materialized (select r, p, list_slice(x, p * w + 1, (p + 1) * w) as x from (select r, x, len(x) // {n} as w, unnest(range({n})) as p from v)),
+c0 as materialized (select p, r - 1 as e, x as c from p where r <= {_CODING.entries}),
+{rounds},
+{assigned(last)},
+books as (select sha256(string_agg(v::varchar, ',' order by p, e, i)) as codebooks_sha256
+  from (select p, e, unnest(c) as v, generate_subscripts(c, 1) as i from c{last})),
+codes as (select r, string_agg(printf('%02x', e::int), '' order by p) as code, sum(d)::bigint as error from a{last} group by r),
+out as (select vec_id, label, code, error from v join codes using (r))
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from out, books
+"""
+
+
+_FORM = fill_middle.Form()
+
+# Units as a list, so that every cut is a position in it.
+_FILL_SQL = f"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text,
+    sha256('{_FORM.salt}:' || coalesce(doc_id::varchar, '')) as h from documents),
+u as (select *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') as us,
+    [('0x' || h[8 * i + 1 : 8 * i + 8])::bigint for i in range(4)] as hs from d),
+n as (select *, len(us) as n, text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+    or hs[3] % 100 >= {_FORM.plain_from} as plain, hs[4] % 100 < {_FORM.spm_below} as spm from u),
+c as (select *, least(hs[1] % (n + 1), hs[2] % (n + 1)) as a, greatest(hs[1] % (n + 1), hs[2] % (n + 1)) as b from n),
+t as (select *, array_to_string(us[1:a], '') as p, array_to_string(us[a + 1 : b], '') as m, array_to_string(us[b + 1 :], '') as s from c)
+select doc_id, n::bigint as n, case when plain then 'plain' when spm then 'spm' else 'psm' end as form,
+  case when not plain then length(p) end::bigint as prefix_chars, case when not plain then length(m) end::bigint as middle_chars,
+  sha256(case when plain then text when spm then '<S>' || s || '<P>' || p || '<M>' || m else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+  sha256(text) as restored_sha256 from t
+"""
+
+ORACLES = {
+    "op1_quality_rules": _QUALITY_SQL, "op3_mixing": _MIX_SQL, "op5_lm_scoring": _LM_SQL, "op6_warc": _WARC_SQL,
+    "op10_decontaminate": _BENCHMARK_SQL, "op11_vector_codes": _vector_sql(), "op12_fill_middle": _FILL_SQL,
+}

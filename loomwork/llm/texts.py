@@ -96,3 +96,16 @@ def pieces(batch: pa.RecordBatch, rows: int = 2048) -> Iterator[pa.RecordBatch]:
     """The batch in slices of at most ``rows`` rows, which bounds memory; no row is left out."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = 2048, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and ``size`` bytes of a string column; a longer
+    text is a slice of its own.  No row is left out."""
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0))
+    ends, start = np.cumsum(lengths, dtype=np.int64), 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = int(np.searchsorted(ends, before + size, side="right"))
+        stop = min(max(stop, start + 1), start + rows, batch.num_rows)
+        yield batch.slice(start, stop - start)
+        start = stop
