@@ -56,13 +56,16 @@ def drop_cut(df: DataFrame | None) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-def bucketed(df: DataFrame, *columns: str, buckets: int | None = None) -> DataFrame:
-    """``cut_lineage`` into a table bucketed by ``columns``: joins on them do not move it again."""
+def bucketed(df: DataFrame, *columns: str, buckets: int | None = None, placed: bool = False) -> DataFrame:
+    """``cut_lineage`` into a table bucketed by ``columns``: joins on them do not move it again.
+
+    ``placed`` says that the rows come from a grouping by the same columns, and need no move before they are written.
+    """
     spark = df.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"bucketed_{uuid.uuid4().hex}"
     (
-        df.repartition(n, *columns)
+        (df if placed else df.repartition(n, *columns))
         .write.bucketBy(n, *columns)
         .sortBy(*columns)
         .option("path", new_path(spark, "buckets"))
