@@ -7,8 +7,8 @@ import os
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, extraction, fill_middle, licenses, lm_scoring, mixing, passages, quality_rules, simhash, token_files,
-    vector_codes, warc,
+    decontaminate, extraction, fill_middle, licenses, lm_scoring, mixing, passages, quality_rules, repeats, simhash,
+    token_files, vector_codes, warc,
 )
 
 TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
@@ -84,6 +84,11 @@ def op12_fill_middle(spark, sf_dir):
     return fill_middle.digests(_table(spark, sf_dir, "documents"))
 
 
+def op13_repeats(spark, sf_dir):
+    """What every document keeps without the byte strings that occur more than once."""
+    return repeats.digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_token_files": op2_token_files,
@@ -97,6 +102,7 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
     "op11_vector_codes": op11_vector_codes,
     "op12_fill_middle": op12_fill_middle,
+    "op13_repeats": op13_repeats,
 }
 
 _WHITE = r"[ \t\n\x0B\f\r]"
@@ -272,7 +278,27 @@ select doc_id, n::bigint as n, case when plain then 'plain' when spm then 'spm'
   sha256(text) as restored_sha256 from t
 """
 
+_WINDOW = repeats.Repeats().window
+
+# Every window of every text by its hash; bytes as hexadecimal digits, of which two are a byte.
+_REPEATS_SQL = f"""
+with d as materialized (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+w as (select r, i, md5_number(substr(h, 2 * i - 1, {2 * _WINDOW})) as win
+  from (select r, h, unnest(range(1, (length(h) // 2 - {_WINDOW} + 2)::bigint)) as i from d)),
+hit as (select r, i from (select r, i, count(*) over (partition by win) as n from w) where n > 1),
+spans as materialized (select r, min(i) as a, max(i) + {_WINDOW} as b from (select r, i, sum(new) over (partition by r order by i) as span
+  from (select r, i, case when i > lag(i) over (partition by r order by i) + {_WINDOW} then 1 else 0 end as new from hit)) group by r, span),
+gaps as (select r, a, lead(a) over (partition by r order by a) as next, b, row_number() over (partition by r order by a) as k from spans),
+kept as (select r, sum(b - a)::bigint as n_removed, count(*) as n_spans,
+    string_agg(case when k = 1 then substr(h, 1, 2 * (a - 1)::bigint) else '' end
+      || substr(h, 2 * b - 1, 2 * (coalesce(next, length(h) // 2 + 1) - b)::bigint), '' order by a) as h
+  from gaps join d using (r) group by r)
+select doc_id, (length(d.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(kept.h, d.h))) as kept_sha256 from d left join kept using (r)
+"""
+
 ORACLES = {
     "op1_quality_rules": _QUALITY_SQL, "op3_mixing": _MIX_SQL, "op5_lm_scoring": _LM_SQL, "op6_warc": _WARC_SQL,
     "op10_decontaminate": _BENCHMARK_SQL, "op11_vector_codes": _vector_sql(), "op12_fill_middle": _FILL_SQL,
+    "op13_repeats": _REPEATS_SQL,
 }
