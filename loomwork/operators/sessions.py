@@ -80,13 +80,15 @@ def session_metrics(
     long: int = TEN_MINUTES,
     is_new: Column | None = None,
     batch_events: Column | None = None,
+    arrived: int | None = None,
 ) -> DataFrame:
     """Rows ``(metric, value)`` from sessions with ``start_ms``, ``end_ms``, ``events``.
 
     One pass, combined before the shuffle.  A session is active when it ended
     less than ``timeout`` before ``as_of``.  ``is_new`` marks sessions opened
     in this batch; without it a session that began within ``slack`` is new.
-    ``batch_events`` is a session's number of events in this batch.
+    ``batch_events`` is a session's number of events in this batch; ``arrived`` is
+    the number of all events in this batch, where that is known.
     """
     rows = sessions_ms.withColumn("_idle", as_of - F.col("end_ms")).withColumn(
         "_length", F.col("end_ms") - F.col("start_ms")
@@ -107,7 +109,7 @@ def session_metrics(
         F.count_if(active & (idle < slack) & fresh),
         F.count_if(active),
         total(active, F.col("events")),
-        F.coalesce(F.sum(in_batch), F.lit(0)).cast("long"),
+        F.lit(arrived).cast("long") if arrived is not None else F.coalesce(F.sum(in_batch), F.lit(0)).cast("long"),
         F.count_if((idle > timeout) & (idle < timeout + slack)),
     )
     wide = rows.agg(*[v.alias(m) for m, v in zip(METRICS, values)])

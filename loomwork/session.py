@@ -7,12 +7,15 @@ import os
 from pyspark.sql import SparkSession
 
 # AQE re-plans joins from measured sizes and splits skewed join partitions, and
-# is on by default; state lives in RocksDB so that it may outgrow the heap.
+# is on by default; state lives in RocksDB so that it may outgrow the heap, and a batch
+# writes what it changed; sessions are merged in each task before they move.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,3 +47,11 @@ def as_pattern(path: str) -> str:
 def with_ingest_time(stream: DataFrame) -> DataFrame:
     """Add the time of the micro-batch as ``timestamp``."""
     return stream.withColumn("timestamp", F.current_timestamp())
+
+
+def replay(rows: DataFrame, part: Column, parts: int, folder: str) -> Iterator[int]:
+    """Write the rows of one part after the other into a folder that a stream reads, giving each
+    part's number once it is there.  Run the stream in between, and batches are cut where parts are."""
+    for number in range(parts):
+        rows.where(part == number).write.mode("append").parquet(folder)
+        yield number

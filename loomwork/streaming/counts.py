@@ -7,9 +7,9 @@ from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.parse import explode_tokens
 from .tables import ResultTable
@@ -38,39 +38,54 @@ def _combine(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"word": counts.index, "n": counts.to_numpy()})
 
 
-def _add(
-    key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    fresh: dict[str, int] = {}
-    for pdf in batches:
-        for word, n in zip(pdf["word"].tolist(), pdf["n"].tolist()):
-            fresh[word] = fresh.get(word, 0) + n
-    known = dict(zip(*state.get)) if state.exists else {}
-    known.update((word, known.get(word, 0) + n) for word, n in fresh.items())
-    state.update((list(known), list(known.values())))
-    yield pd.DataFrame({"word": list(fresh), "n": [known[word] for word in fresh]})
+class _Counts(StatefulProcessor):
+    """A count for each word of a bucket, each a value of its own in state."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.counts = handle.getMapState("counts", "word string", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        fresh: dict[str, int] = {}
+        for pdf in rows:
+            for word, n in zip(pdf["word"].tolist(), pdf["n"].tolist()):
+                fresh[word] = fresh.get(word, 0) + n
+        out = []
+        for word, n in fresh.items():
+            known = self.counts.getValue((word,)) if self.counts.containsKey((word,)) else None
+            total = n + (known[0] if known else 0)
+            self.counts.updateValue((word,), (total,))
+            out.append((word, total))
+        yield pd.DataFrame(out, columns=["word", "n"], dtype=object)
+
+    def close(self) -> None:
+        pass
 
 
 def word_counts_by_state(lines: DataFrame, column: str = "value", buckets: int = 1024) -> DataFrame:
     """Running counts by explicit keyed state that never expires, for update mode.
 
     Each Arrow batch is combined to counts before the shuffle, so a frequent
-    word reaches its state as a few rows.  Words share ``buckets`` states by
-    hash: one call and one frame per bucket, not per word.  A batch rewrites the
-    buckets it touches, so there should be more of them the larger the
-    vocabulary is.
+    word reaches its state as a few rows.  ``buckets`` says how many calls a batch
+    is at most, as words of one bucket share a call; each word has a value of its
+    own in state, and only those of words that came are written.
     """
     words = explode_tokens(lines, column).mapInPandas(_combine, "word string, n long")
     bucket = F.pmod(F.xxhash64("word"), F.lit(buckets))
-    return words.withColumn("bucket", bucket).groupBy("bucket").applyInPandasWithState(
-        _add, "word string, n long", "words array<string>, counts array<bigint>", "update", GroupStateTimeout.NoTimeout
+    return words.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(
+        _Counts(), "word string, n long", "Update", "None"
     )
 
 
+def exact_sum(price: str) -> Column:
+    """The sum of prices as decimals of nine places, as a double: the same in whatever order rows come."""
+    return F.sum(F.col(price).cast("decimal(28,9)")).cast("double")
+
+
 def ticker_sums(messages: DataFrame) -> DataFrame:
     """Running sum and average of price by ticker and receiver."""
+    total = exact_sum("price")
     return messages.groupBy("ticker", "destUser").agg(
-        F.sum("price").alias("total_price"), F.avg("price").alias("avg_price")
+        total.alias("total_price"), (total / F.count("price")).alias("avg_price")
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -13,20 +12,16 @@ from pyspark.sql.streaming import StreamingQuery
 from ..storage import new_path
 
 BATCH = "batch_id"
-FAN_IN = 8  # folders of one size that are merged
-KEPT_LISTS = 100  # batches whose lists of folders are kept, for readers that are behind
 
 
 class ResultTable:
-    """The output of a stream as parquet in the shared folder.
+    """The output of a stream as parquet in the shared folder, a partition for each batch.
 
-    Every attempt at a batch writes a folder of its own; a batch counts once its
-    list of folders is written, as one small file, so a reader sees whole batches
-    only, whatever is retried.  A path goes with its checkpoint.  ``mode`` is the output mode: ``complete`` has the
-    newest batch, ``append`` all of them, and ``update`` the newest row of each
-    of ``keys``.  When ``FAN_IN`` folders of a size have come together they are
-    merged into one, of update mode without outdated rows, so a table of n
-    batches is read from few folders and a row is written log(n) times.
+    A batch that is repeated overwrites its partition, and partitions count up
+    to the newest that is whole.  ``mode`` is the output mode: ``complete`` has
+    the newest batch, ``append`` all of them, and ``update`` the newest row of
+    each of ``keys``, by one aggregation.  A path goes with its checkpoint.  Old
+    partitions of a complete table are for the folder's owner to expire.
 
     With ``name`` the table is a temporary view that SQL can poll, from before
     the first batch on.
@@ -49,63 +44,24 @@ class ResultTable:
         self.path = path or new_path(self.spark, "streams")
         self.checkpoint = checkpoint or new_path(self.spark, "stream-state")
         self.rows_schema = schema or (None if transform else stream.schema)
-        self.gone: list[tuple[int, str]] = []  # folders no longer read from, and since when
-        self.last, self.folders = self._newest_list()
         if name:
             self.read().createOrReplaceTempView(name)
 
-    # --- which folders count
-
-    def _fs(self):
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _newest_list(self) -> tuple[int, list[tuple[int, str]]]:
-        """The newest published batch, and (size class, folder) of all that it is read from."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        lists, fs = path(f"{self.path}/lists"), self._fs()
-        ids = [int(s.getPath().getName()) for s in fs.listStatus(lists)] if fs.exists(lists) else []
-        for batch_id in sorted(ids, reverse=True):
-            if fs.exists(path(f"{self.path}/lists/{batch_id}/_SUCCESS")):
-                rows = self.spark.read.schema("level int, folder string").json(f"{self.path}/lists/{batch_id}").collect()
-                return batch_id, [(r.level, r.folder) for r in rows]
-        return -1, []
-
-    def _publish(self, batch_id: int, folders: list[tuple[int, str]]) -> None:
-        rows = self.spark.createDataFrame(folders, "level int, folder string")
-        rows.coalesce(1).write.mode("overwrite").json(f"{self.path}/lists/{batch_id}")
-        now = {folder for _, folder in folders}
-        self.gone += [(batch_id, folder) for _, folder in self.folders if folder not in now]
-        self.last, self.folders = batch_id, folders
-        path, fs = self.spark._jvm.org.apache.hadoop.fs.Path, self._fs()
-        fs.delete(path(f"{self.path}/lists/{batch_id - KEPT_LISTS}"), True)
-        while self.gone and self.gone[0][0] <= batch_id - KEPT_LISTS:
-            fs.delete(path(self.gone.pop(0)[1]), True)
-
-    # --- writing
+    @property
+    def last(self) -> int:
+        """The newest whole batch; -1 before the first."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        done = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BATCH}=*/_SUCCESS")
+        found = done.getFileSystem(conf).globStatus(done) or []
+        return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found), default=-1)
 
     def _write(self, batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= self.last:
-            return  # published before a failure
         out = self.transform(batch) if self.transform else batch
         self.rows_schema = self.rows_schema or out.schema
-        kept = [] if self.mode == "complete" else list(self.folders)
-        kept.append((0, self._save(out.withColumn(BATCH, F.lit(batch_id)))))
-        while len(kept) >= FAN_IN and len({level for level, _ in kept[-FAN_IN:]}) == 1:
-            some, level = kept[-FAN_IN:], kept[-1][0] + 1
-            merged = self._rows([folder for _, folder in some])
-            if self.mode == "update" and self.keys:
-                merged = latest_rows(merged, self.keys, keep_version=True)
-            kept = [*kept[:-FAN_IN], (level, self._save(merged))]
-        self._publish(batch_id, kept)
+        out.write.mode("overwrite").parquet(f"{self.path}/{BATCH}={batch_id}")
         if self.name:
             self.read().createOrReplaceTempView(self.name)
 
-    def _save(self, rows: DataFrame) -> str:
-        folder = f"{self.path}/rows/{uuid.uuid4().hex}"
-        rows.write.parquet(folder)
-        return folder
-
     def start(self, interval: str | None = None) -> StreamingQuery:
         """Start with a trigger interval such as "5 seconds", or on what is available now."""
         trigger = {"processingTime": interval} if interval else {"availableNow": True}
@@ -122,29 +78,25 @@ class ResultTable:
         self.start().awaitTermination()
         return self.read()
 
-    # --- reading
-
-    def _rows(self, folders: list[str]) -> DataFrame:
-        batch = T.StructField(BATCH, T.IntegerType())
-        schema = T.StructType([*(self.rows_schema.fields if self.rows_schema else []), batch])
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema) if self.rows_schema else self.spark.read
-        return reader.parquet(*folders)
-
     def read(self) -> DataFrame:
-        """Rows of all published batches, also those of an earlier run on the same path."""
-        rows = self._rows([folder for _, folder in self.folders])
+        """Rows of all whole batches, also those of an earlier run on the same path."""
+        last = self.last
+        if last < 0:
+            fields = self.rows_schema.fields if self.rows_schema else []
+            rows = self.spark.createDataFrame([], T.StructType([*fields, T.StructField(BATCH, T.IntegerType())]))
+        else:
+            reader = self.spark.read
+            if self.rows_schema:
+                reader = reader.schema(T.StructType([*self.rows_schema.fields, T.StructField(BATCH, T.IntegerType())]))
+            rows = reader.parquet(self.path).where(F.col(BATCH) == last if self.mode == "complete" else F.col(BATCH) <= last)
         if self.mode == "complete":
             return rows.drop(BATCH)
         return latest_rows(rows, self.keys) if self.mode == "update" and self.keys else rows
 
 
-def latest_rows(
-    rows: DataFrame, keys: Sequence[str], version: str = BATCH, keep_version: bool = False
-) -> DataFrame:
+def latest_rows(rows: DataFrame, keys: Sequence[str], version: str = BATCH) -> DataFrame:
     """The newest version of each key's row."""
-    rest = [c for c in rows.columns if c not in (*keys, version)] + [version] * keep_version
+    rest = [c for c in rows.columns if c not in (*keys, version)]
     newest = F.max_by(F.struct(*rest), F.col(version)).alias("_row")
     return rows.groupBy(*keys).agg(newest).select(*keys, "_row.*")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import MESSAGE_FIELDS, parse_messages, rendered
+from .counts import exact_sum
 
 # Window, slide and watermark of the trade report.
 WINDOW, SLIDE, WATERMARK = "30 seconds", "5 seconds", "30 seconds"
@@ -24,15 +25,17 @@ def window_trades(
     """Latest time, total and average price and number of trades per sliding window and ticker.
 
     ``time`` is a timestamp; rows later than ``watermark`` behind the newest
-    time are dropped.
+    time are dropped.  Prices are summed as decimals, so totals do not depend on
+    the order of rows.
     """
+    total = price_sum if price_sum is not None else exact_sum(price)
     return (
         trades.withWatermark(time, watermark)
         .groupBy(F.window(time, window, slide), ticker)
         .agg(
             F.max(time).alias("max_time"),
-            (price_sum if price_sum is not None else F.sum(price)).alias("total_price"),
-            F.avg(price).alias("avg_price"),
+            total.alias("total_price"),
+            (total / F.count(price)).alias("avg_price"),
             F.count(F.lit(1)).alias("trades"),
         )
         .select(

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from loomwork.functions.parse import parse_weblog
 from loomwork.operators import sessions as batch_sessions
-from loomwork.sources.streams import new_files, parquet_table, with_ingest_time
+from loomwork.sources.sinks import PartitionSink, Written, read_partitions
+from loomwork.sources.streams import new_files, parquet_table, replay, with_ingest_time
 from loomwork.streaming import counts, windows
-from loomwork.streaming.sessions import current_sessions, merge_spans, session_table, session_updates
+from loomwork.streaming.sessions import SessionStream, session_lines
 from loomwork.streaming.tables import ResultTable
 
 T0 = datetime.datetime(2024, 1, 1)
@@ -205,13 +206,12 @@ def test_named_table_can_be_polled_before_the_first_batch(spark, tmp_path):
 
 
 @pytest.mark.parametrize("mode", ["update", "append"])
-def test_many_batches_are_read_from_few_folders(spark, tmp_path, mode):
+def test_many_batches(spark, tmp_path, mode):
     stream = text_stream(spark, tmp_path / "in")
     table = ResultTable(stream, mode, keys=["value"] if mode == "update" else [], path=str(tmp_path / "out"))
-    n = 70
+    n = 25
     for i in range(n):
         table._write(spark.createDataFrame([(f"w{i % 10}",)], "value string").coalesce(1), i)
-    assert len(table.folders) <= 14
     got = rows(table.read().select("value"))
     assert got == sorted((f"w{i}",) for i in range(10)) if mode == "update" else len(got) == n
     again = ResultTable(stream, mode, keys=table.keys, path=table.path)
@@ -222,33 +222,44 @@ def test_reader_sees_whole_batches_only(spark, tmp_path):
     stream = text_stream(spark, tmp_path / "in")
     table = ResultTable(stream, "append", path=str(tmp_path / "out"))
     table._write(spark.createDataFrame([("a",)], "value string"), 0)
-    table._save(spark.createDataFrame([("half", 1)], "value string, batch_id int"))  # an attempt that died
+    half = tmp_path / "out" / "batch_id=1"  # an attempt that died
+    spark.createDataFrame([("half",)], "value string").write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
     assert rows(ResultTable(stream, "append", path=table.path).read().select("value")) == [("a",)]
     table._write(spark.createDataFrame([("b",)], "value string"), 1)
     table._write(spark.createDataFrame([("b",)], "value string"), 1)
     assert rows(table.read().select("value")) == [("a",), ("b",)]
 
 
-# ------------------------------------------------------------------ sessions
-
+def test_partition_sink(spark, tmp_path):
+    lines, path = text_stream(spark, tmp_path / "in", *LINES), str(tmp_path / "out")
+    spark.dataSource.register(PartitionSink)
+    args = dict(path=path, checkpointLocation=str(tmp_path / "cp"))
+    lines.writeStream.format("partitions").options(**args).trigger(availableNow=True).start().awaitTermination()
+    want = [("Hi ",), ("hi bob",), ("hi there",)]
+    assert rows(read_partitions(spark, path, lines.schema)) == want
+    writer = PartitionSink({"path": path}).streamWriter(lines.schema, False)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["hi bob", "Hi "])], ["value"])
+    lost = writer.write(iter([batch]))  # written, never named
+    assert lost.rows == 2 and rows(read_partitions(spark, path, lines.schema)) == want
+    again = writer.write(iter([batch]))
+    writer.commit([again, Written("", 0), None], 1)  # the batch is repeated
+    assert rows(read_partitions(spark, path, lines.schema)) == want
+    writer.abort([writer.write(iter([batch]))], 2)
+    assert rows(read_partitions(spark, path, lines.schema)) == want
+    assert writer.write(iter([])).rows == 0
+    assert read_partitions(spark, str(tmp_path / "out"), lines.schema).count() == 3
 
-def test_merge_spans_in_any_order():
-    import numpy as np
 
-    rng = np.random.default_rng(7)
-    for _ in range(50):
-        t = rng.integers(0, 200, 40)
-        whole = merge_spans(t, t, np.ones_like(t), 3)
-        state = (np.empty(0, dtype="int64"),) * 3
-        for part in np.array_split(rng.permutation(t), 5):
-            fresh = merge_spans(part, part, np.ones_like(part), 3)
-            state = merge_spans(*(np.concatenate(p) for p in zip(state, fresh)), 3)
-        assert all((a == b).all() for a, b in zip(whole, state))
+# ------------------------------------------------------------------ sessions
 
 
-def run_sessions(stream, watermark="1 hour", gap=10):
-    table = session_table(session_updates(stream, "key", "t", gap, watermark), "key")
-    return current_sessions(table.run()), table
+def run_sessions(stream, watermark="1 hour", gap="10 seconds"):
+    out = SessionStream(stream, "key", "t", gap, watermark)
+    out.run()
+    return out
 
 
 def test_sessions_out_of_order_equal_batch(spark, tmp_path):
@@ -260,7 +271,7 @@ def test_sessions_out_of_order_equal_batch(spark, tmp_path):
         [("a", at(t), 0.0) for t in (115, 124, 95)] + [("b", at(60), 0.0)],
     ]
     stream = event_stream(spark, tmp_path / "in", batches)
-    got, _ = run_sessions(stream)
+    got = run_sessions(stream).all_sessions()
     flat = [(k, t) for b in batches for k, t, _ in b]
     df = spark.createDataFrame(flat, "key string, t timestamp")
     want = batch_sessions.sessions(df, ["key"], ["t"], F.expr("INTERVAL '10' SECOND"))
@@ -278,12 +289,91 @@ def test_sessions_close_behind_the_watermark(spark, tmp_path):
         [("a", at(1100), 0.0)],
     ]
     stream = event_stream(spark, tmp_path / "in", batches)
-    got, table = run_sessions(stream, watermark="20 seconds")
-    seen = [(r["key"], (r["session_start"] - T0).total_seconds(), r["events"]) for r in got.collect()]
-    assert sorted(seen) == [("a", 0, 2), ("a", 1100, 1), ("b", 1000, 2)]
-    written = spark.read.parquet(*[folder for _, folder in table.folders])
-    history = written.where("key = 'b'").orderBy("batch_id").collect()
-    assert [(r["events"], r["is_new"]) for r in history] == [(1, True), (2, False)]
+    out = run_sessions(stream, watermark="20 seconds")
+    seen = lambda df: sorted((r["key"], (r["session_start"] - T0).total_seconds(), r["events"]) for r in df.collect())
+    assert seen(out.all_sessions()) == [("a", 0, 2), ("a", 1100, 1), ("b", 1000, 2)]
+    assert seen(out.live()) == [("a", 1100, 1)] and len(out.batches) == 5
+    assert seen(out.live(out.batches[0].batch_id)) == [("a", 0, 2)]
+
+
+def put(spark, folder, data, columns="key string, s long, part int"):
+    rows_ = spark.createDataFrame(data, columns).withColumn("t", F.timestamp_seconds(F.col("s") + 1_700_000_000))
+    return rows_.select("key", "t", "part", F.concat_ws(" ", "key", "s").alias("line"))
+
+
+def shuffled_events(seed, n=400):
+    import random
+
+    r = random.Random(seed)
+    return [(r.choice("aaaaabcd") if r.random() < 0.98 else None, r.randrange(20_000)) for _ in range(n)]
+
+
+def expected_lines(events, gap):
+    out, last = [], {}
+    for key, s in sorted(events, key=lambda e: e[1]):
+        start, end = last.get(key, (None, None))
+        start = s if end is None or s > end + gap else start
+        last[key] = start, s
+        out.append((start, key, s))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 20])
+def test_session_text_is_the_same_from_any_batches(spark, tmp_path, parts):
+    """Events out of order over batches; the start goes on from batch to batch."""
+    import random
+
+    events, r = shuffled_events(5), random.Random(parts)
+    order = sorted(events, key=lambda e: e[1] + r.randrange(2000))  # up to 2000 s late
+    data = [(k, s, i * parts // len(order)) for i, (k, s) in enumerate(order)] + [("end", 60_000, parts)]
+    all_rows = put(spark, tmp_path, data)
+    folder = str(tmp_path / "in")
+    all_rows.limit(0).write.parquet(folder)
+    stream = spark.readStream.schema(all_rows.schema).parquet(folder)
+    table = ResultTable(session_lines(stream, "key", "t", F.coalesce("line", F.lit("")), 60, "2500 seconds"), "append")
+    for _ in replay(all_rows, F.col("part"), parts + 1, folder):
+        got = table.run()
+    seen = []
+    for v in got.select("value").collect():
+        start, line = v.value.split("\t")
+        at = datetime.datetime.strptime(start, "%d/%b/%Y %H:%M:%S %z").timestamp()
+        key, _, s = line.rpartition(" ")
+        seen.append((int(at) - 1_700_000_000, key or None, int(s)))
+    assert sorted(seen, key=repr) == expected_lines(events, 60)
+
+
+def test_metrics_of_every_batch(spark, tmp_path):
+    """All metrics by plain Python over the events seen up to each batch."""
+    import random
+
+    events, r = [e for e in shuffled_events(8) if e[0]], random.Random(2)
+    order = sorted(events, key=lambda e: e[1] + r.randrange(3000))
+    parts = 4
+    data = [(k, s, i * parts // len(order)) for i, (k, s) in enumerate(order)]
+    all_rows, folder = put(spark, tmp_path, data), str(tmp_path / "in")
+    all_rows.limit(0).write.parquet(folder)
+    out = SessionStream(spark.readStream.schema(all_rows.schema).parquet(folder), "key", "t", "60 seconds", "3500 seconds", arrival=F.col("part"))
+    for part in replay(all_rows, F.col("part"), parts, folder):
+        (batch,) = out.run()
+        got = dict(rows(out.metrics(batch, timeout=60_000, slack=20_000, short=5_000, long=60_000)))
+        now = max(s for _, s, p in data if p <= part)
+        sessions = []
+        for key in {k for k, _, _ in data}:
+            for s, p in sorted((s, p) for k, s, p in data if k == key and p <= part):
+                if not sessions or sessions[-1][0] != key or s > sessions[-1][2] + 60:
+                    sessions.append([key, s, s, 0, p])
+                sessions[-1][2:] = s, sessions[-1][3] + 1, min(p, sessions[-1][4])
+        active = [x for x in sessions if now - x[2] < 60]
+        length = lambda x: x[2] - x[1]
+        assert got == {
+            "TOTAL_SESSION_TIME": 1000 * sum(map(length, active)), "UNDER_A_MINUTE_COUNT": sum(length(x) < 5 for x in active),
+            "ONE_TO_TEN_MINUTE_COUNT": sum(5 <= length(x) < 60 for x in active), "OVER_TEN_MINUTES_COUNT": sum(length(x) >= 60 for x in active),
+            "NEW_SESSION_COUNTS": sum(now - x[2] < 20 and x[4] == part for x in active), "TOTAL_SESSION_COUNTS": len(active),
+            "TOTAL_SESSION_EVENT_COUNTS": sum(x[3] for x in active), "EVENT_COUNTS": sum(p == part for _, _, p in data),
+            "DEAD_SESSION_COUNTS": sum(60 < now - x[2] < 80 for x in sessions),
+        }
+        record = out.record(batch).collect()
+        assert len(record) == 1 and record[0].row_key == f"C.{2**63 - 1 - batch.newest_ms}"
 
 
 def test_log_lines_to_sessions_and_metrics(spark, tmp_path):
@@ -294,8 +384,7 @@ def test_log_lines_to_sessions_and_metrics(spark, tmp_path):
     )
     parsed = parse_weblog(lines).where("log_time is not null and key is not null")
     # extending on less than 30 s means at most 29 s at whole seconds
-    table = session_table(session_updates(parsed, "key", "log_time", 29, "1 minute"), "key")
-    got = current_sessions(table.run())
+    got = run_sessions(parsed.withColumn("t", F.col("log_time")), "1 minute", "29 seconds").all_sessions()
     as_of = F.lit(int((T0 - datetime.datetime(1970, 1, 1)).total_seconds() * 1000) + 70_000)
     in_ms = got.select(F.unix_millis("session_start").alias("start_ms"), F.unix_millis("session_end").alias("end_ms"), "events")
     metrics = dict(rows(batch_sessions.session_metrics(in_ms, as_of)))
