@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import bucketed, cut_lineage
+from ..storage import bucketed, cut_lineage, drop_cut
 from .texts import give_back, slices
 
 
@@ -40,7 +40,7 @@ class Repeats:
     window: int = 200
     anchors: tuple[int, ...] = (48, 128, 200)
     key_bytes: int = 1 << 20
-    shard_bytes: int = 4 << 20
+    shard_bytes: int = 2 << 20
     seed: int = 42
 
     def __post_init__(self):
@@ -165,13 +165,12 @@ class SuffixArray:
             self.depths.append(depth)
             self.ranks.append(rank)
             several = np.diff(np.append(at, len(key)))[group] > 1
-            open_ = open_[several]
+            open_ = open_[several & (self.end[open_] - open_ >= depth)]  # equal ones that ended before stay equal
             if depth >= longest or not len(open_):
                 return
             first = rank[open_].astype(np.int64)
             after = open_ + depth
-            inside = after < self.end[open_]
-            key = np.where(inside, rank[np.minimum(after, self.n - 1)].astype(np.int64) + 1, 0)
+            key = np.where(after < self.end[open_], rank[np.minimum(after, self.n - 1)].astype(np.int64) + 1, 0)
             depth *= 2
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -211,24 +210,49 @@ def intervals(common: list[int], least: int, start: int = 0) -> Iterator[Interva
             stack.append((length, begin))
 
 
-class Found(NamedTuple):
-    """Occurrences of maximal repeats: segment, first and last byte (excluded), and the repeat's number."""
-
-    segment: np.ndarray
-    begin: np.ndarray
-    end: np.ndarray
-    repeat: np.ndarray
-
-
-def maximal_repeats(segments: list[bytes], window: int) -> Found:
-    """All occurrences of all strings of ``window`` bytes or more that are found twice in the segments
-    and that are not always part of the same longer one."""
+class Tree(NamedTuple):
+    """The diverse intervals of some segments' suffixes of a window's length and more."""
+
+    array: SuffixArray
+    places: np.ndarray  # where each suffix begins, in the order of the array
+    length: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Segment, first and last byte (excluded) of all that a maximal repeat covers; these meet nowhere."""
+        reach = np.zeros(len(self.places), np.int64)
+        for i in np.argsort(self.length, kind="stable").tolist():  # intervals within others are longer
+            reach[self.first[i] : self.last[i] + 1] = self.length[i]
+        some = np.flatnonzero(reach)
+        change = np.zeros(self.array.n + 1, np.int32)
+        np.add.at(change, self.places[some], 1)
+        np.add.at(change, self.places[some] + reach[some], -1)
+        hit = np.cumsum(change[:-1]) > 0
+        border = np.zeros(self.array.n, bool)
+        border[self.array.begins[self.array.begins < self.array.n]] = True
+        begin = np.flatnonzero(hit & (border | ~np.concatenate([[False], hit[:-1]])))
+        end = np.flatnonzero(hit & np.concatenate([border[1:] | ~hit[1:], [True]])) + 1 if len(hit) else begin
+        owner = self.array.owner[begin]
+        return owner, begin - self.array.begins[owner], end - self.array.begins[owner]
+
+    def occurrences(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Of each maximal repeat the length, and segment and first byte of all its occurrences."""
+        for length, first, last in zip(self.length.tolist(), self.first.tolist(), self.last.tolist()):
+            place = self.places[first : last + 1]
+            owner = self.array.owner[place]
+            yield length, owner, place - self.array.begins[owner]
+
+
+def maximal_repeats(segments: list[bytes], window: int) -> Tree:
+    """The strings of ``window`` bytes or more that are found twice in the segments and that are not
+    always part of the same longer one."""
     array = SuffixArray(segments)
     none = np.zeros(0, np.int64)
     places = np.flatnonzero(array.end - np.arange(array.n) >= window) if array.n else none
     places = places[np.argsort(array.ranks[-1][places], kind="stable")]
     if len(places) < 2:
-        return Found(none, none, none, none)
+        return Tree(array, places, none, none, none)
     common = array.common(places[:-1], places[1:])
     # what stands before each suffix; before a segment's first byte anything may
     left = array.data[np.maximum(places - 1, 0)].astype(np.int64)
@@ -241,22 +265,14 @@ def maximal_repeats(segments: list[bytes], window: int) -> Found:
     for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
         if changes[hi] > changes[lo]:  # else no interval within is diverse
             found += [i for i in intervals(common[lo:hi].tolist(), window, lo) if changes[i.last] > changes[i.first]]
-    if not found:
-        return Found(none, none, none, none)
-    length, first, last = (np.array(x, np.int64) for x in zip(*found))
-    size = last - first + 1
-    number = np.repeat(np.arange(len(found)), size)
-    member = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + first[number]
-    place = places[member]
-    owner = array.owner[place]
-    begin = place - array.begins[owner]
-    return Found(owner, begin, begin + length[number], number)
+    length, first, last = (np.array(x, np.int64) for x in zip(*found)) if found else (none, none, none)
+    return Tree(array, places, length, first, last)
 
 
 # --- Spark -------------------------------------------------------------------------------------
 
 _PIECE = "g binary, n long, off long, len int, m long, s binary"
-_SPAN = "s binary, lo long, hi long, repeat binary"
+_SPAN = "s binary, lo long, hi long"
 
 
 def text_key(text: Column) -> Column:
@@ -274,22 +290,58 @@ def distinct_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return bucketed(groups, "g", placed=True)
 
 
+def _cuts(batch: pa.RecordBatch, k: int, rule: Repeats, size: int = 4 << 20) -> Iterator[tuple]:
+    """The segments of the rows ``(g, n, data)``: joined texts, segments, row and place of each.
+
+    A long text is taken in parts that overlap by all but one byte of a window,
+    so every window is in one part, and memory is bounded.
+    """
+    for part in slices(batch, 2, size=size):
+        row, start, texts = [], [], []
+        for i, text in enumerate(part.column(2).to_pylist()):
+            for at in range(0, max(1, len(text) - rule.window + 1), size):
+                row.append(i)
+                start.append(at)
+                texts.append(text[at : at + size + rule.window - 1])
+                if len(text) > size:
+                    yield part, *_placed(row, start, texts, k, rule)
+                    row, start, texts = [], [], []
+        if texts:
+            yield part, *_placed(row, start, texts, k, rule)
+
+
+def _placed(row: list[int], start: list[int], texts: list[bytes], k: int, rule: Repeats) -> tuple:
+    data, cut = cut_segments(texts, k, rule)
+    begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    return data, cut, np.array(row)[cut.owner], cut.begin - begins[cut.owner] + np.array(start)[cut.owner]
+
+
+def _keys(texts: DataFrame, k: int, rule: Repeats) -> DataFrame:
+    """``(m, n)``: keys of the segments with their numbers, those of a batch added up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, _, cut, row, _ in _cuts(batch, k, rule):
+                keys, at = np.unique(cut.key, return_inverse=True)
+                n = np.bincount(at, np.asarray(part.column(1))[row], len(keys)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["m", "n"])
+        give_back()
+
+    return texts.select("g", "n", "data").mapInArrow(run, "m long, n long")
+
+
 def _pieces(texts: DataFrame, k: int, rule: Repeats) -> DataFrame:
     """The segments of all texts: text, its copies, place, size, key, and 16 bytes of a hash of its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            for part in slices(batch, 2, size=8 << 20):
-                texts = part.column(2).to_pylist()
-                data, cut = cut_segments(texts, k, rule)
-                view = memoryview(data)
+            for part, data, cut, row, off in _cuts(batch, k, rule):
+                view, rows = memoryview(data), pa.array(row)
                 hashes = [digest(view[a:b]) for a, b in zip(cut.begin.tolist(), cut.end.tolist())]
-                starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-                owner = pa.array(cut.owner)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0).take(owner), part.column(1).take(owner), pa.array(cut.begin - starts[cut.owner]),
+                        part.column(0).take(rows), part.column(1).take(rows), pa.array(off),
                         pa.array((cut.end - cut.begin).astype(np.int32)), pa.array(cut.key), pa.array(hashes, pa.binary()),
                     ],
                     ["g", "n", "off", "len", "m", "s"],
@@ -306,60 +358,70 @@ def _fetch(segments: DataFrame, texts: DataFrame) -> DataFrame:
     return texts.select("g", "data").join(wanted, "g").select(F.explode(cut).alias("x")).select("x.s", "x.n", "x.data", "x.m")
 
 
-def _in_shards(segments: DataFrame, shards: int, rule: Repeats) -> DataFrame:
-    """Occurrences of maximal repeats in segments that are placed together by their keys."""
+def _in_shards(segments: DataFrame, shards: int, rule: Repeats, groups: bool) -> DataFrame:
+    """What maximal repeats cover in segments that are placed together by their keys; with ``groups``
+    each occurrence of each by itself, and 16 bytes of a hash of the repeated string."""
 
     def run(table: pa.Table) -> pa.Table:
         names, data = table.column("s").combine_chunks(), table.column("data").to_pylist()
-        found = maximal_repeats(data, rule.window)
-        strings: dict[int, bytes] = {}
-        for segment, a, b, number in zip(*(x.tolist() for x in found)):
-            if number not in strings:
-                strings[number] = xxhash.xxh3_128_digest(data[segment][a:b])
-        repeat = pa.array([strings[i] for i in found.repeat.tolist()], pa.binary())
-        spans = [names.take(pa.array(found.segment)), pa.array(found.begin), pa.array(found.end), repeat]
         copied = np.flatnonzero(np.asarray(table.column("n")) > 1)  # all of a segment that has copies is a repeat
-        whole = names.take(pa.array(copied))
         sizes = np.array([len(d) for d in data], np.int64)[copied]
-        both = [pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x, y]) for x, y in zip(
-            spans, (whole, pa.array(np.zeros(len(copied), np.int64)), pa.array(sizes), whole))]
-        return pa.Table.from_arrays(both, ["s", "lo", "hi", "repeat"])
+        tree = maximal_repeats(data, rule.window)
+        if groups:
+            found = [(length, s, a) for length, owner, at in tree.occurrences() for s, a in zip(owner.tolist(), at.tolist())]
+            segment, lo = np.array([s for _, s, _ in found], np.int64), np.array([a for *_, a in found], np.int64)
+            hi = lo + np.array([length for length, *_ in found], np.int64)
+        else:
+            segment, lo, hi = tree.spans()
+        columns = [
+            names.take(pa.array(np.concatenate([segment, copied]))), pa.array(np.concatenate([lo, np.zeros_like(copied)])),
+            pa.array(np.concatenate([hi, sizes])),
+        ]
+        if not groups:
+            return pa.Table.from_arrays(columns, ["s", "lo", "hi"])
+        strings = [xxhash.xxh3_128_digest(data[s][a:b]) for s, a, b in zip(segment.tolist(), lo.tolist(), hi.tolist())]
+        return pa.Table.from_arrays([*columns, pa.array(strings + names.take(pa.array(copied)).to_pylist(), pa.binary())], ["s", "lo", "hi", "repeat"])
 
     shard = F.pmod(F.xxhash64("m"), F.lit(shards)).alias("shard")
-    return segments.select("s", "n", "data", shard).groupBy("shard").applyInArrow(run, _SPAN)
+    return segments.select("s", "n", "data", shard).groupBy("shard").applyInArrow(run, _SPAN + ", repeat binary" * groups)
 
 
-def occurrences(texts: DataFrame, rule: Repeats = Repeats(), level: int = 0) -> DataFrame:
-    """``(g, lo, hi, repeat)``: where the texts of ``distinct_texts`` have repeats, and 16 bytes of a
-    hash of each repeated string.
+def occurrences(texts: DataFrame, rule: Repeats = Repeats(), groups: bool = False, level: int = 0) -> DataFrame:
+    """``(g, lo, hi)``: what repeats cover in the texts of ``distinct_texts``; with ``groups`` also
+    ``repeat``, 16 bytes of a hash of each repeated string, and a row for each occurrence of each,
+    which among n texts that differ here and there can be as many as n².
 
     Long repeats are cut at the borders of segments; neighbouring parts overlap
     by all but one byte of a window.  Keys are counted before segments move, only
     segments of keys that occur again go on, and the bytes of a segment are sent
     once, however many texts have it.  A key with very many different segments is
-    cut again by longer runs of bytes, so no shard grows with the input.
+    cut again by longer runs of bytes, so no shard grows with the input.  What is
+    joined with rows of a frequent key is written first, so that Spark can split
+    these rows.
     """
     last = level + 1 == len(rule.anchors)
-    pieces = _pieces(texts, rule.anchors[level], rule)
-    again = pieces.groupBy("m").agg(F.sum("n").alias("n")).where("n > 1").select("m")
-    shared = cut_lineage(pieces.join(again, "m", "left_semi"))
-    kinds = shared.groupBy("m", "s").agg(F.sum("n").alias("n"), F.min(F.struct("g", "off", "len")).alias("at"))
-    sizes = kinds.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.sum("at.len").alias("bytes"))
+    again = cut_lineage(_keys(texts, rule.anchors[level], rule).groupBy("m").agg(F.sum("n").alias("n")).where("n > 1").select("m"))
+    shared = cut_lineage(_pieces(texts, rule.anchors[level], rule).join(again, "m", "left_semi"))
+    drop_cut(again)
+    kinds = cut_lineage(shared.groupBy("m", "s").agg(F.sum("n").alias("n"), F.min(F.struct("g", "off", "len")).alias("at")))
+    sizes = cut_lineage(kinds.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.sum("at.len").alias("bytes")))
     told = cut_lineage(kinds.join(sizes, "m"))
+    drop_cut(kinds)
+    drop_cut(sizes)
 
     size = F.col("at.len").cast("long")
-    copies = told.where("kinds = 1").select("s", F.lit(0).cast("long").alias("lo"), size.alias("hi"), F.col("s").alias("repeat"))
+    copies = told.where("kinds = 1").select("s", F.lit(0).cast("long").alias("lo"), size.alias("hi"), *[F.col("s").alias("repeat")] * groups)
     large = (F.col("bytes") > rule.key_bytes) & F.lit(not last)
     several = told.where("kinds > 1")
     n = several.agg(*(F.coalesce(F.sum(F.when(c, size)), F.lit(0)).alias(x) for c, x in ((~large, "small"), (large, "large")))).first()
     found = copies
     if n.small:
-        found = found.unionByName(_in_shards(_fetch(several.where(~large), texts), n.small // rule.shard_bytes + 1, rule))
+        found = found.unionByName(_in_shards(_fetch(several.where(~large), texts), n.small // rule.shard_bytes + 1, rule, groups))
     if n.large:
         again_texts = cut_lineage(_fetch(several.where(large), texts).select(F.col("s").alias("g"), "n", "data"))
-        found = found.unionByName(occurrences(again_texts, rule, level + 1).withColumnRenamed("g", "s"))
+        found = found.unionByName(occurrences(again_texts, rule, groups, level + 1).withColumnRenamed("g", "s"))
     return shared.select("g", "off", "s").join(found, "s").select(
-        "g", (F.col("off") + F.col("lo")).alias("lo"), (F.col("off") + F.col("hi")).alias("hi"), "repeat"
+        "g", (F.col("off") + F.col("lo")).alias("lo"), (F.col("off") + F.col("hi")).alias("hi"), *["repeat"] * groups
     )
 
 
@@ -438,4 +500,4 @@ def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``(repeat, id_col, lo, hi)``: all rows and places where each maximal repeat occurs."""
     texts = distinct_texts(docs, text_col)
     keyed = docs.select(id_col, text_key(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("g"))
-    return keyed.join(occurrences(texts, rule).distinct(), "g").select("repeat", id_col, "lo", "hi")
+    return keyed.join(occurrences(texts, rule, groups=True).distinct(), "g").select("repeat", id_col, "lo", "hi")

@@ -90,6 +90,20 @@ def test_very_long_text(spark):
     assert got[2].kept == b"" and got[3].kept == b"other" and got[1].n_bytes == len(text)
 
 
+def test_long_texts_are_cut_in_parts(monkeypatch):
+    import pyarrow as pa
+    rule = Repeats(window=20, anchors=(6, 13, 20))
+    texts = [t.encode() for t in corpus(3, 5, "abc", 400)] + [b"", b"x" * 19]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([1] * len(texts)), pa.array(texts)], ["g", "n", "data"])
+    seen = defaultdict(list)
+    for part, data, cut, row, off in repeats._cuts(batch, 6, rule, size=50):
+        for a, b, r, o in zip(cut.begin.tolist(), cut.end.tolist(), row.tolist(), off.tolist()):
+            text = part.column(2)[r].as_py()
+            assert text[o : o + b - a] == bytes(data[a:b])
+            seen[text] += range(o, o + b - a - 19)
+    assert all(sorted(seen[t]) == sorted(i for other in texts if other == t for i in range(len(t) - 19)) for t in texts)
+
+
 def test_null_and_repeated_ids(spark):
     base = corpus(8, 3)[0] + "x" * 30
     base = (base * 3)[:900]
@@ -146,9 +160,14 @@ def test_interval_tree(seed):
     segments = [bytes(r.choice(letters.encode()) for _ in range(r.randrange(4, 40))) for _ in range(6)] + [b"a" * 12, b"\0" * 9, b"\0\0\1" * 3]
     segments = sorted(set(segments))
     got = defaultdict(list)
-    found = maximal_repeats(segments, 4)
-    for n, a, b, number in zip(*(x.tolist() for x in found)):
-        got[number].append((n, a, segments[n][a:b]))
+    tree = maximal_repeats(segments, 4)
+    for number, (length, owner, at) in enumerate(tree.occurrences()):
+        got[number] += [(n, a, segments[n][a : a + length]) for n, a in zip(owner.tolist(), at.tolist())]
+    spans = [bytearray(len(s)) for s in segments]
+    for n, a, b in zip(*(x.tolist() for x in tree.spans())):
+        assert not any(spans[n][a:b]) and a < b
+        spans[n][a:b] = b"\1" * (b - a)
+    assert spans == covered(segments, 4)
     mine = {}
     for rows in got.values():
         assert len({s for _, _, s in rows}) == 1
