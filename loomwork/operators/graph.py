@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import bucketed, cut_lineage, drop_cut
 
 SLICE_LINKS = 1_000_000  # links of one vertex handled by one task
-WEDGE_LINKS = 1_000  # outgoing links of one vertex that are paired with as many others in one task
+WEDGE_LINKS = 1_000  # outgoing links of one vertex that are sent on with as many others in one task
 CUT_EVERY = 5  # rounds between lineage cuts
 
 
@@ -46,13 +48,13 @@ def triangle_count(
 
     Every link points from its end of lower degree, then smaller id, to the
     other.  A vertex then has at most sqrt(2 * links) outgoing links, also a hub
-    that most links touch.  Its outgoing links are cut into slices of about
-    ``slice_links``, and two slices meet in a place of their own, once; so each
-    pair of links is formed in one order only and no task gets all pairs of a
-    vertex.
+    that most links touch, and these are one sorted list.  What comes after a
+    neighbour in a vertex's list is sent to that neighbour and intersected with
+    its own list.  Lists are sent in slices of ``slice_links``, each two slices of
+    a vertex from a place of their own, so no task has all pairs of a hub.
     """
     links = cut_lineage(undirected(edges))
-    degree = (
+    degree = cut_lineage(
         links.select(F.explode(F.array("lo", "hi")).alias("id"))
         .groupBy("id")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -61,31 +63,45 @@ def triangle_count(
     hi = degree.select(F.col("id").alias("hi"), F.struct("n", "id").alias("hi_r"))
     upward = F.col("lo_r") < F.col("hi_r")
     pick = lambda x, y: F.when(upward, x).otherwise(y)
-    out = cut_lineage(
-        links.join(lo, "lo").join(hi, "hi").select(
-            pick(F.col("lo"), F.col("hi")).alias("a"),
-            pick(F.col("hi"), F.col("lo")).alias("b"),
-            pick(F.col("hi_r.n"), F.col("lo_r.n")).alias("b_n"),
-        )
+    out = links.join(lo, "lo").join(hi, "hi").select(
+        pick(F.col("lo"), F.col("hi")).alias("a"), pick(F.col("hi_r"), F.col("lo_r")).alias("b_r")
+    )
+    ordered = F.transform(F.array_sort(F.collect_list("b_r")), lambda r: r.id)
+    # written, so that Spark can split the rows that meet the list of a hub
+    lists = cut_lineage(out.groupBy("a").agg(ordered.alias("bs")))
+    size = F.col("slices")
+    both = F.explode(F.flatten(F.transform(
+        F.sequence(F.lit(0), size - 1), lambda i: F.transform(F.sequence(i, size - 1), lambda j: F.struct(i.alias("i"), j.alias("j")))
+    )))
+    cut = lambda i: F.slice("bs", (i * slice_links + 1).cast("int"), slice_links)
+    sliced_lists = (
+        lists.where(F.size("bs") > 1)
+        .withColumn("slices", F.ceil(F.size("bs") / slice_links).cast("int"))
+        .select("a", "bs", both.alias("at"))
+        .select("a", "at", cut(F.col("at.i")).alias("near"), cut(F.col("at.j")).alias("far"))
     )
-    size = out.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / slice_links).cast("int").alias("slices"))
-    placed = out.join(size, "a").withColumn("own", F.pmod(F.xxhash64("b"), F.col("slices")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("other")
-    meeting = placed.select("a", "b", "b_n", "own", other).select(
-        "a", "b", "b_n", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    placed = sliced_lists.repartition("a", "at")
+    after = F.when(
+        F.col("at.i") == F.col("at.j"), F.slice("far", F.col("place") + 2, slice_links)
+    ).otherwise(F.col("far"))
+    sent = (
+        placed.select("a", "at", "far", F.posexplode("near").alias("place", "b"))
+        .select("a", "b", after.alias("cs"))
+        .where(F.size("cs") > 0)
     )
-    far = meeting.select("a", "i", "j", F.col("own").alias("c_own"), F.col("b").alias("c"), F.col("b_n").alias("c_n"))
-    apart = (F.col("i") == F.col("j")) | (F.col("own") != F.col("c_own"))  # within a slice they meet where i = j
-    wedges = (
-        meeting.join(far, ["a", "i", "j"])
-        .where(apart & (F.struct("b_n", "b") < F.struct("c_n", "c")))
-        .select("a", "b", "c")
+    own = lists.select(F.col("a").alias("b"), "bs")
+    closed = (
+        sent.join(own, "b")
+        .select("a", "b", F.array_intersect("cs", "bs").alias("cs"))
+        .where(F.size("cs") > 0)
     )
-    closed = wedges.join(out.select(F.col("a").alias("b"), F.col("b").alias("c")), ["b", "c"])
+    n = F.size("cs").cast("long").alias("n")
+    ends = F.array(F.struct(F.col("a").alias("id"), n), F.struct(F.col("b").alias("id"), n))
+    third = F.transform("cs", lambda c: F.struct(c.alias("id"), F.lit(1).cast("long").alias("n")))
     corners = (
-        closed.select(F.explode(F.array("a", "b", "c")).alias("id"))
+        closed.select(F.inline(F.concat(ends, third)))
         .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("triangles"))
+        .agg(F.sum("n").alias("triangles"))
     )
     everyone = endpoints(edges) if vertices is None else graph_vertices(edges, vertices.select("id"))
     return everyone.join(corners, "id", "left").select(
@@ -133,10 +149,11 @@ def pagerank(
     """``(id, rank)`` with ``rank = reset + (1 - reset) * sum(rank_src / out_src)``.
 
     Ranks start at 1 and are not normalised; parallel edges count each.  The
-    loop ends when no rank moves by more than ``tolerance``, which happens for
-    every ``reset`` above 0, or after exactly ``rounds`` if they are given
-    instead.  Each round moves ranks and sums combined per mapper, never the
-    links.
+    loop runs for exactly ``rounds`` if they are given.  Otherwise it ends when
+    no rank has moved by more than ``tolerance`` in a round, which is asked every
+    ``CUT_EVERY`` rounds and happens for every ``reset`` above 0; then rounds pass
+    on only what ranks have moved by, from the vertices that still move.  Sums
+    are combined per mapper, and the links never move.
     """
     if not 0 <= reset <= 1:
         raise ValueError("reset must lie between 0 and 1")
@@ -147,37 +164,56 @@ def pagerank(
     shares = weighted.join(out, "src").select("src", "dst", (F.col("w") / F.col("out")).alias("share"))
     links, hubs = sliced(shares, slice_links)
     ids = cut_lineage(endpoints(weighted))
-    ranks, cuts, done = ids.withColumn("rank", F.lit(1.0)), [], 0
-    while rounds is None or done < rounds:
-        done += 1
-        senders = fan_out(ranks.withColumnRenamed("id", "src"), hubs)
-        sums = (
-            links.join(senders, ["src", "slice"])
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("rank") * F.col("share")).alias("_sum"))
-        )
-        new = reset + (1 - reset) * F.coalesce("_sum", F.lit(0.0))
-        if rounds is not None:
-            # from the ids, not from the old ranks: a plan that used the ranks
-            # twice would double with every round
-            ranks = ids.join(sums, "id", "left").select("id", new.alias("rank"))
-            if done % CUT_EVERY and done < rounds:
-                continue
-            ranks = cut_lineage(ranks)
-            moved = None
-        else:
-            change = F.abs(new - F.col("rank")).alias("_moved")
-            step = cut_lineage(ranks.join(sums, "id", "left").select("id", new.alias("rank"), change))
-            moved = step.agg(F.max("_moved")).first()[0] or 0
-            ranks = step.drop("_moved")
+    sums = lambda senders: (
+        links.join(fan_out(senders.withColumnRenamed("id", "src"), hubs), ["src", "slice"])
+        .groupBy(F.col("dst").alias("id"))
+        .agg(((1 - reset) * F.sum(F.col("rank") * F.col("share"))).alias("rank"))
+    )
+    ranks = ids.withColumn("rank", F.lit(1.0))
+    if rounds is None:
+        return _until_still(ranks, sums, reset, tolerance)
+    cuts = []
+    for done in range(1, rounds + 1):
+        # from the ids, not from the old ranks: a plan that used the ranks
+        # twice would double with every round
+        ranks = ids.join(sums(ranks), "id", "left").select("id", (reset + F.coalesce("rank", F.lit(0.0))).alias("rank"))
+        if done % CUT_EVERY and done < rounds:
+            continue
+        ranks = cut_lineage(ranks)
         cuts.append(ranks)
         if len(cuts) > 1:
             drop_cut(cuts.pop(0))
-        if moved is not None and moved <= tolerance:
-            break
     return ranks
 
 
+def _until_still(ranks: DataFrame, sums: Callable[[DataFrame], DataFrame], reset: float, tolerance: float) -> DataFrame:
+    """Ranks when a round moves none by more than ``tolerance``.
+
+    A round takes the moves of the round before to the moves it causes, so
+    several go into one job, each used by the next and by the total.  A vertex
+    that moved by less than a hundredth of ``tolerance * reset`` sends nothing.
+    """
+    quiet = tolerance * reset / 100
+    first = ranks.join(sums(ranks).withColumnRenamed("rank", "_sum"), "id", "left")
+    ranks = cut_lineage(first.select("id", (reset + F.coalesce("_sum", F.lit(0.0))).alias("rank")))
+    moves = ranks.select("id", (F.col("rank") - 1).alias("rank"))
+    while True:
+        every = None
+        for i in range(CUT_EVERY):
+            moves = sums(moves.where(F.abs("rank") > quiet))
+            one = moves.select("id", F.col("rank").alias("move"), F.lit(i == CUT_EVERY - 1).alias("last"))
+            every = one if every is None else every.unionByName(one)
+        total = every.groupBy("id").agg(F.sum("move").alias("move"), F.sum(F.when(F.col("last"), F.col("move"))).alias("last"))
+        before = ranks
+        now = cut_lineage(ranks.join(total, "id", "left").select(
+            "id", (F.col("rank") + F.coalesce("move", F.lit(0.0))).alias("rank"), F.coalesce("last", F.lit(0.0)).alias("last")
+        ))
+        drop_cut(before)
+        ranks, moves = now.select("id", "rank"), now.select("id", F.col("last").alias("rank")).where("rank <> 0")
+        if (now.agg(F.max(F.abs("last"))).first()[0] or 0) <= tolerance:
+            return ranks
+
+
 def spread(
     vertices: DataFrame, edges: DataFrame, max_rounds: int | None = None, slice_links: int = SLICE_LINKS
 ) -> DataFrame:

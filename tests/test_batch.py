@@ -348,6 +348,8 @@ def test_models_learn(spark):
     compared = ml.compare(df, ml.hash_place("id")).collect()
     got = {r["model"]: (r["metric"], r["value"]) for r in compared}
     assert set(got) == set(ml.MODELS)
+    stumps = ml.compare(df, ml.hash_place("id"), models=tuple(ml.STUMPS)).collect()
+    assert [r["value"] for r in stumps] == [1.0, 1.0]
     labels = [r["label"] for r in test.collect()]
     share = max(labels.count(0.0), labels.count(1.0)) / len(labels)
     for r in compared:
@@ -359,3 +361,62 @@ def test_models_learn(spark):
         else:
             assert value < 0.2
     assert "If (feature 0" in ml.tree_text(ml.decision_tree().fit(train))
+
+
+def best_tree(rows, depth, impurity):
+    """The greedy tree of whole-number features by trying all splits, as a function of a row."""
+    import math
+
+    def impure(labels):
+        shares = [labels.count(v) / len(labels) for v in (0, 1)]
+        if impurity == "gini":
+            return 1 - sum(p * p for p in shares)
+        return -sum(p * math.log2(p) for p in shares if p)
+
+    labels = [y for _, y in rows]
+    guess = int(2 * sum(labels) > len(labels))
+    best, gain = None, 0.0
+    for f in range(len(rows[0][0]) if depth else 0):
+        values = sorted({x[f] for x, _ in rows})
+        for a, b in zip(values, values[1:]):
+            parts = [[r for r in rows if (r[0][f] <= a) == side] for side in (True, False)]
+            got = impure(labels) - sum(len(p) / len(rows) * impure([y for _, y in p]) for p in parts)
+            if got > gain + 1e-12:
+                best, gain = (f, (a + b) / 2, parts), got
+    if best is None:
+        return lambda x: guess
+    f, at, parts = best
+    low, high = (best_tree(p, depth - 1, impurity) for p in parts)
+    return lambda x: (low if x[f] <= at else high)(x)
+
+
+@pytest.mark.parametrize("impurity", ["gini", "entropy"])
+@pytest.mark.parametrize("depth", [1, 3])
+def test_trees_against_all_splits(spark, impurity, depth):
+    import random
+
+    r = random.Random(depth)
+    data = []
+    for i in range(400):
+        x = (r.randrange(9), r.randrange(5), r.randrange(2))
+        data.append((i, float(r.random() < 0.1 + 0.7 * (x[0] > 4) * (x[1] < 3) + 0.15 * x[2]), *map(float, x)))
+    df = features.with_vector(spark.createDataFrame(data, "id int, label double, x double, y double, z double"), ("x", "y", "z"), ("id", "label"))
+    tree = best_tree([(d[2:], int(d[1])) for d in data], depth, impurity)
+    got = {p.id: p.prediction for p in ml.decision_tree(impurity, depth).fit(df).transform(df).collect()}
+    assert got == {d[0]: float(tree(d[2:])) for d in data}
+
+
+def test_model_queries_return_their_results(spark, sf_dir):
+    from oracle import connect
+
+    from loomwork.workload import models
+
+    n_train, n_test, accuracy, rmse = connect(sf_dir).execute(models.BASELINES_SQL).fetchone()
+    got = models.QUERIES["ml_compare"](spark, sf_dir).collect()
+    assert [r.model for r in got] == list(ml.MODELS)
+    for row in got:
+        plain = rmse if row.metric == "rmse" else accuracy
+        assert (row.n_train, row.n_test) == (n_train, n_test) and row.baseline == pytest.approx(plain, abs=1e-9)
+        assert row.beats_baseline == (row.value < plain - 1e-12 if row.metric == "rmse" else row.value > plain + 1e-12)
+    one = models.QUERIES["ml_tree_gini"](spark, sf_dir).first()
+    assert tuple(one) == tuple(next(r for r in got if r.model == "tree_gini"))

@@ -118,3 +118,22 @@ def test_vertices_named_by_edges_get_defaults(spark, edges):
     out = {r["id"]: (r["name"], r["n"]) for r in graph.graph_vertices(edges, known, {"name": "none", "n": 0}).collect()}
     assert out[0] == ("bob", None) and out[99] == ("eve", 1) and out[5] == ("none", 0)
     assert len(out) == len({i for e in EDGES for i in e} | {99})
+
+
+def test_pagerank_at_its_own_tolerance(spark, sf_dir):
+    """Against the equations solved by very many rounds."""
+    import numpy as np
+
+    from loomwork.workload import graphs, tables
+
+    edges = [(r.src, r.dst) for r in tables.trade_edges(spark, sf_dir).collect()]
+    ids = sorted({i for e in edges for i in e})
+    at = {v: i for i, v in enumerate(ids)}
+    src, dst = np.array([at[a] for a, _ in edges]), np.array([at[b] for _, b in edges])
+    out, rank = np.bincount(src, minlength=len(ids)), np.ones(len(ids))
+    for _ in range(400):
+        rank = 0.15 + 0.85 * np.bincount(dst, rank[src] / out[src], len(ids))
+    got = {r.id: r["rank"] for r in graphs.pagerank_converged(spark, sf_dir).collect()}
+    assert set(got) == set(ids)
+    # a round moves nothing by more than the tolerance, and what follows adds up to less than 1 / reset of it
+    assert max(abs(got[v] - rank[at[v]]) for v in ids) <= 1e-4 / 0.15
