@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -27,7 +29,7 @@ BLOCKS = HIDDEN | SITE | MAIN | HEADINGS | frozenset(
 FURNITURE = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments commentlist"
     " consent contentinfo cookie cookies copyright disqus footer gdpr header login masthead menu menubar modal nav navbar"
-    " navigation newsletter notice overlay pager pagination popup promo promoted promotion related replies reply search"
+    " navigation newsletter notice overlay pager pagination popup promo promoted promotion related replies reply reviews search"
     " share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
 MAIN_NAMES = frozenset("article main".split())
@@ -43,9 +45,10 @@ STOP_WORDS = frozenset(
     " sus también te tiene todo una unos y ya".split()
 )
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/><]*)")
+_SPECIAL = re.compile(r">|=\s*[\"']")  # a quote that follows no equals sign is part of a name
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.IGNORECASE)
-_PARTS = re.compile(r"[a-zA-Z]+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")  # of postComments: post, Comments
 _HIDDEN_ATTRIBUTE = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.IGNORECASE)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,9 +60,10 @@ class Rules:
     A block is bad if it lies in site furniture, or more than ``max_links`` of
     its characters are link text.  It is good if it has ``long_words`` or more
     and ``min_stops`` of them are stop words; in the page's own article or main
-    part, ``main_words`` are enough and stop words are not asked for.  What is
-    neither is ambiguous: a long one with few stop words is bad, a short one
-    takes the label of its nearest decided neighbours.
+    part ``main_words`` are enough.  What is neither is ambiguous: a long one with
+    few stop words is bad, but ambiguous too in the main part; a short one takes
+    the label of its nearest decided neighbours, and in a main part where nothing
+    is decided it is good.
     """
 
     long_words: int = 10
@@ -88,6 +92,61 @@ def _kind(tag: str, attributes: str) -> tuple[bool, bool, bool]:
     return hidden, furniture, main
 
 
+class _Scanner:
+    """Tags of a page, in time proportional to its length whatever it holds.
+
+    Where no tag can end, because quotes or the page do not, that is kept, so
+    nothing is looked through twice for the same end.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.dead: list[tuple[int, int]] = []  # sorted spans; a tag that reaches one outside of quotes has no end
+        self.last_end = page.rfind(">")
+
+    def _end(self, at: int) -> int:
+        """Where the tag that is open at ``at`` ends; -1 if it does not."""
+        seen: list[tuple[int, int]] = []
+        while at <= self.last_end:
+            i = bisect.bisect_right(self.dead, (at, len(self.page))) - 1
+            if i >= 0 and at <= self.dead[i][1]:
+                break
+            match = _SPECIAL.search(self.page, at)
+            if match is None:
+                seen.append((at, len(self.page)))
+                break
+            if match[0] == ">":
+                return match.start()
+            seen.append((at, match.start()))
+            close = self.page.find(match[0][-1], match.end())
+            if close < 0:
+                break
+            at = close + 1
+        for span in seen:
+            bisect.insort(self.dead, span)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Of the next tag or comment from ``at`` on: begin, end, slash, name (empty for comments), attributes."""
+        page = self.page
+        while True:
+            begin = page.find("<", at)
+            if begin < 0:
+                return None
+            if page.startswith("<!--", begin):
+                end = page.find("-->", begin + 4)
+                return begin, len(page) if end < 0 else end + 3, "", "", ""
+            if page.startswith(("<!", "<?"), begin) and begin < self.last_end:
+                return begin, page.index(">", begin) + 1, "", "", ""
+            if begin > self.last_end:
+                return None
+            name = _NAME.match(page, begin + 1)
+            end = self._end(name.end()) if name else -1
+            if end >= 0:
+                return begin, end + 1, name[1], name[2].lower(), page[name.end() : end]
+            at = begin + 1
+
+
 def blocks_of(page: str) -> list[Block]:
     """Runs of text between tags of block elements, with what they lie in.
 
@@ -96,6 +155,7 @@ def blocks_of(page: str) -> list[Block]:
     """
     blocks: list[Block] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # tag, hidden, furniture, main
+    open_: Counter[str] = Counter()  # how often each tag is on the stack
     hidden = furniture = main = 0
     links, link_from = 0, -1
     texts: list[str] = []
@@ -116,17 +176,17 @@ def blocks_of(page: str) -> list[Block]:
             if links:
                 link_chars += len("".join(text.split()))
 
-    at = 0
+    scanner, at = _Scanner(page), 0
     while True:
-        match = _TOKEN.search(page, at)
-        if match is None:
+        found = scanner.next(at)
+        if found is None:
             add(page[at:])
             break
-        add(page[at : match.start()])
-        at = match.end()
-        if match[2] is None:
+        begin, after, end, tag, attributes = found
+        add(page[at:begin])
+        at = after
+        if not tag:
             continue
-        tag, end = match[2].lower(), match[1]
         if tag == "a":
             links = max(0, links - 1) if end else 1
             continue
@@ -140,17 +200,20 @@ def blocks_of(page: str) -> list[Block]:
         if not end:
             if tag == "p":  # a paragraph ends where the next one begins
                 while stack and stack[-1][0] == "p":
-                    _, h, f, m = stack.pop()
+                    name, h, f, m = stack.pop()
+                    open_[name] -= 1
                     hidden, furniture, main = hidden - h, furniture - f, main - m
-            kind = _kind(tag, match[3])
+            kind = _kind(tag, attributes)
             stack.append((tag, *kind))
+            open_[tag] += 1
             hidden, furniture, main = hidden + kind[0], furniture + kind[1], main + kind[2]
             if tag in RAW:
                 at = _after_raw(page, tag, at)
-        elif any(t == tag for t, *_ in stack):
+        elif open_[tag]:
             links = 0
             while True:
                 name, h, f, m = stack.pop()
+                open_[name] -= 1
                 hidden, furniture, main = hidden - h, furniture - f, main - m
                 if name == tag:
                     break
@@ -172,13 +235,12 @@ def classify(blocks: list[Block], rules: Rules) -> None:
         chars = len(b.text) - b.text.count(" ")
         if b.furniture or 100 * b.link_chars > rules.max_links * chars:
             b.label = "bad"
-        elif b.main and n >= rules.main_words:
-            b.label = "good"
-        elif n < rules.long_words or b.heading or b.main:
+        elif b.heading or n < (rules.main_words if b.main else rules.long_words):
             b.label = "short"
         else:
             stops = sum(w in STOP_WORDS for w in words)
-            b.label = "good" if 100 * stops >= rules.min_stops * len(words) else "bad"
+            many = 100 * stops >= rules.min_stops * max(1, len(words))
+            b.label = "good" if many else "short" if b.main else "bad"
     # nearest decided block before and after each; furniture is no neighbour of the main part
     decided = [b.label for b in blocks]
     before = _nearest(blocks, decided, range(len(blocks)))

@@ -83,3 +83,43 @@ def test_compound_names(name):
         page = f"<div class='article-body'><p>{MORE}</p></div><div {attribute}='{name}'><p>{PROSE}</p></div>"
         assert extraction.main_text(page) == MORE
         assert extraction.main_text(f"<main><p>{MORE}</p><div {attribute}='{name}'>{PROSE}</div></main>") == MORE
+
+
+@pytest.mark.parametrize("name", ["postComments", "user-reviews", "articleComments", "PostSidebar", "siteNAV", "wide user-reviews"])
+def test_names_of_several_words(name):
+    page = f"<main><p>{MORE}</p><div class='{name}'><p>{PROSE}</p></div></main>"
+    assert extraction.main_text(page) == MORE
+
+
+SHAPES = {
+    "open tags": "<p ", "open tags at last ended in quotes": ("<p ", " x='>"), "quotes": "<a \"'", "quoted values": "<a x=\"<b\" ",
+    "quoted values, end in quotes": ("<a x=\"<b\" ", "y='>"), "declarations": "<!", "instructions": "<?x ", "open comment": "<!-",
+    "equals": "<a = = ", "one quote": "<a b='", "both quotes": "<a b='<a b=\"", "ends": "</p ", "less": "<", "entity": "&#",
+    "raw": "<script", "closed raw": "<title>",
+}
+
+
+@pytest.mark.parametrize("name", SHAPES)
+def test_odd_pages_take_linear_time(name):
+    import time
+
+    one, tail = SHAPES[name] if isinstance(SHAPES[name], tuple) else (SHAPES[name], "")
+    page = one * (1_000_000 // len(one)) + tail
+    start = time.process_time()
+    extraction.main_text(page)
+    assert time.process_time() - start < 4
+
+
+def test_many_stray_ends_take_linear_time():
+    import time
+
+    start = time.process_time()
+    got = extraction.main_text("<div>" * 60_000 + f"<p>{PROSE}" + "</section>" * 60_000 + "</span>" * 20_000)
+    assert got == PROSE and time.process_time() - start < 4
+
+
+def test_tags_by_the_standard():
+    assert extraction.main_text(f"<p title=\"a > b\" it's>{PROSE}") == PROSE  # a quote in a name opens nothing
+    assert extraction.main_text(f"<p data-x = '>' y>{PROSE}") == PROSE
+    assert extraction.main_text(f"<p>{PROSE} 1 < 2 <3") == f"{PROSE} 1 < 2 <3"
+    assert extraction.main_text(f"<div class='ad' <p>{PROSE}</div><p>{MORE}") == MORE
