@@ -35,7 +35,11 @@ def _plain(v):
         return "nan" if math.isnan(v) else v
     if isinstance(v, decimal.Decimal):
         return float(v)
-    return v
+    if isinstance(v, dict):
+        return tuple(sorted((k, _plain(x)) for k, x in v.items()))
+    if isinstance(v, (list, tuple)):  # arrays and structs
+        return tuple(map(_plain, v))
+    return bytes(v) if isinstance(v, bytearray) else v
 
 
 def rows_of(names, rows):
