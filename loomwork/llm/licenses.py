@@ -39,8 +39,22 @@ TEMPLATES = (
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General"
      " Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any"
      " later version."),
-    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
-     " General Public License as published by the Free Software Foundation"),
+    ("AGPL-3.0", "licensed under the GNU Affero General Public License, version 3"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+     " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
+     " option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser"
+     " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
+     " option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+     " General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your"
+     " option) any later version."),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+     " General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your"
+     " option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+     " 2.0 which is available at"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0"),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
      " the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of"
      " conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice,"
@@ -59,6 +73,11 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International"
+     " License"),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0"
+     " International License"),
 )
 
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)  # larger than any hash, so no minimum
