@@ -24,6 +24,8 @@ PAGE = "_page"
 GHOST = "_ghost"
 KEYS_PER_PAGE = 20  # keys read per page to place its border
 ROWS_PER_PAGE = 100_000  # rows that one task sorts
+RANGES = 1_024  # ranges of the whole order; borders of pages within them are a table
+RANGE = "_range"
 
 MakeColumn = Callable[[WindowSpec], Column]
 
@@ -33,48 +35,76 @@ def page_count(rows: DataFrame, pages: int | None, rows_per_page: int) -> int:
     return pages or max(1, -(-rows.count() // rows_per_page))
 
 
-def page_borders(df: DataFrame, key: Sequence[str], pages: int) -> Column:
-    """Sorted array of at most ``pages - 1`` sort keys, each starting a new page.
+def _picked(df: DataFrame, key: Sequence[str], pages: int) -> DataFrame:
+    """About ``KEYS_PER_PAGE`` keys for each page, picked by hash: pages are even however the values cluster.
 
-    Runs one job over the key columns and keeps the borders in the shared
-    folder, so every later reading of them, retries included, is the same.
-    Borders are quantiles of about ``KEYS_PER_PAGE`` keys per page picked by
-    hash: pages are even however the values cluster.  Which keys are picked
-    affects the sizes of the pages only, never a result.
+    Which keys are picked affects the sizes of the pages only, never a result.
     """
     keys = df.select(*key)
     step = keys.agg(
         F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / (pages * KEYS_PER_PAGE)))
     ).scalar()
-    picked = keys.where(F.pmod(F.xxhash64(*key), step) == 0).distinct()
-    # picked holds about pages * KEYS_PER_PAGE rows, so one task may sort it
-    tile = F.ntile(pages).over(Window.orderBy(*key))
-    firsts = (
+    return keys.where(F.pmod(F.xxhash64(*key), step) == 0).distinct()
+
+
+def _cut_keys(picked: DataFrame, key: Sequence[str], tiles: int, within: Sequence[str] = ()) -> DataFrame:
+    """The least keys of all tiles but the first, where the picked keys are cut into even tiles, in each group of ``within``."""
+    tile = F.ntile(tiles).over(Window.partitionBy(*within).orderBy(*key))
+    return (
         picked.withColumn("_tile", tile)
-        .groupBy("_tile")
+        .groupBy(*within, "_tile")
         .agg(F.min(F.struct(*key)).alias("_k"))
         .where(F.col("_tile") > 1)
-        .select("_k.*")
     )
-    borders = F.array_sort(F.collect_list(F.struct(*key)))
-    return cut_lineage(firsts.coalesce(1)).agg(borders).scalar()
 
 
-def with_page(df: DataFrame, key: Sequence[str], pages: int) -> DataFrame:
-    """Add ``_page``, the number of page borders at or below the row's key."""
-    out = df.withColumn(PAGE, F.lit(0))
-    if pages == 1:
-        return out
-    borders = page_borders(df, key, pages)
-    place = F.struct(*[F.col(c) for c in key])
-    step = 1 << ((pages - 1).bit_length() - 1)
+def _place(df: DataFrame, key: Sequence[str], borders: Column, most: int, name: str) -> DataFrame:
+    """Add ``name``, the number of ``borders``, at most ``most`` in a sorted array, at or below the row's key."""
+    out, place = df.withColumn(name, F.lit(0)), F.struct(*[F.col(c) for c in key])
+    step = 1 << (most.bit_length() - 1) if most else 0
     while step:  # binary search, one halving per projection
-        found = F.get(borders, F.col(PAGE) + (step - 1)) <= place
-        out = out.withColumn(PAGE, F.col(PAGE) + F.when(found, step).otherwise(0))
+        found = F.get(borders, F.col(name) + (step - 1)) <= place
+        out = out.withColumn(name, F.col(name) + F.when(found, step).otherwise(0))
         step >>= 1
     return out
 
 
+def whole_ranges(pages: int) -> int:
+    """The number of pages, or where there are more than ranges the next that all ranges share evenly."""
+    return pages if pages <= RANGES else -(-pages // RANGES) * RANGES
+
+
+def with_page(df: DataFrame, key: Sequence[str], pages: int) -> DataFrame:
+    """Add ``_page``, the number of page borders at or below the row's key.
+
+    Borders are quantiles of picked keys, on two levels.  At most ``RANGES`` keys
+    cut the whole order into ranges, and every task has these.  If there are to
+    be more pages, each range is cut by itself, in a task of its own, and rows
+    meet the borders of their range in a join.  Borders are kept in the shared
+    folder, so every later reading of them, retries included, is the same.
+    Each border is the key of a row, so no page but perhaps the first is empty.
+    """
+    if pages == 1:
+        return df.withColumn(PAGE, F.lit(0))
+    coarse = min(pages, RANGES)
+    firsts = cut_lineage(_cut_keys(_picked(df, key, coarse), key, coarse).select("_k").coalesce(1))
+    borders = firsts.agg(F.array_sort(F.collect_list("_k"))).scalar()
+    if coarse == pages:
+        return _place(df, key, borders, pages - 1, PAGE)
+    fine = -(-pages // coarse)
+    picked = _place(_picked(df, key, pages), key, borders, coarse - 1, RANGE)
+    within = _cut_keys(picked, key, fine, [RANGE]).groupBy(RANGE).agg(F.array_sort(F.collect_list("_k")).alias("_within"))
+    numbers = df.sparkSession.range(coarse).select(F.col("id").cast("int").alias(RANGE))
+    cuts = numbers.join(within, RANGE, "left")
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    n = F.coalesce(F.size("_within"), F.lit(0)) + 1
+    cuts = cut_lineage(cuts.withColumn("_from", F.coalesce(F.sum(n).over(before), F.lit(0)).cast("int")))
+    placed = _place(df, key, borders, coarse - 1, RANGE).join(cuts, RANGE)
+    paged = _place(placed, key, F.col("_within"), fine - 1, "_fine")
+    # without borders there is nothing to find, and a search in null finds nothing
+    return paged.withColumn(PAGE, F.col("_from") + F.col("_fine")).drop(RANGE, "_within", "_from", "_fine")
+
+
 def _edge_rows(
     paged: DataFrame, key: Sequence[str], reads: Sequence[str], rows: int, last: bool, pages: int
 ) -> DataFrame:
@@ -146,7 +176,7 @@ def ordered_frame(
         window = Window.partitionBy(*group_by).orderBy(*order_by)
         return df.select("*", *[make(window).alias(name) for name, make in columns.items()])
     df = cut_lineage(df)
-    n = page_count(df, pages, rows_per_page)
+    n = whole_ranges(page_count(df, pages, rows_per_page))
     rows = _paged_rows(df, [*group_by, *order_by], reads, preceding, following, n)
     window = Window.partitionBy(PAGE, *group_by).orderBy(*order_by)
     out = rows.select("*", *[make(window).alias(name) for name, make in columns.items()])
@@ -178,7 +208,7 @@ def carry_last(
         latest = F.last("_v", ignorenulls=True).over(window.rowsBetween(*so_far))
         return df.withColumn("_v", value(window)).withColumn(name, latest).drop("_v")
     df = cut_lineage(df)
-    n = page_count(df, pages, rows_per_page)
+    n = whole_ranges(page_count(df, pages, rows_per_page))
     key = [*group_by, *order_by]
     rows = _paged_rows(df, key, reads, preceding, 0, n)
     window = Window.partitionBy(PAGE, *group_by).orderBy(*order_by)

@@ -220,3 +220,40 @@ def test_empty_input(lead_lag):
     none = lead_lag.where("ts < 0")
     assert timeseries.sliding_stats(none, ["ts", "group"], "value").count() == 0
     assert sessions.sessions(none, ["group"], ["ts"], F.lit(10)).count() == 0
+
+
+@pytest.fixture
+def few_ranges(monkeypatch):
+    monkeypatch.setattr(ordered, "RANGES", 4)
+
+
+@pytest.mark.parametrize("pages", [5, 60])
+def test_pages_within_ranges(skewed, few_ranges, pages):
+    """The same as plain windows where the borders of pages are a table."""
+    from pyspark.sql import Window
+
+    order = ["ts", "tie"]
+    for group_by in ([], ["g"]):
+        window = Window.partitionBy(*group_by).orderBy(*order)
+        plain = skewed.select("*", *[make(window).alias(name) for name, make in FRAMES.items()])
+        got = ordered.ordered_frame(skewed, group_by, order, FRAMES, ["v"], 3, 3, pages=pages)
+        assert rows(plain) == rows(got)
+    split = sessions.sessions(skewed, ["g"], order, F.lit(5), pages=pages)
+    assert rows(split) == rows(sessions.sessions(skewed, ["g"], order, F.lit(5), split_groups=False))
+
+
+def test_ranges_are_even_and_pages_not_empty(skewed, few_ranges):
+    n = ordered.whole_ranges(30)
+    paged = ordered.with_page(skewed, ["g", "ts", "tie"], n)
+    sizes = dict(paged.groupBy(ordered.PAGE).count().collect())
+    assert n == 32 and set(sizes) == set(range(len(sizes))) and len(sizes) >= 28
+    assert max(sizes.values()) <= 4 * skewed.count() / n
+
+
+def test_a_plan_of_very_many_pages(spark):
+    """No array of all borders in the plan of the rows, and no window over their keys as a whole."""
+    n = ordered.whole_ranges(100_000)
+    paged = ordered.with_page(spark.range(3000).select("id"), ["id"], n)
+    plan = paged._jdf.queryExecution().optimizedPlan().toString()
+    assert n >= 100_000 and "_range" in plan and "windowspecdefinition" not in plan and "Window" not in plan
+    assert paged.agg(F.countDistinct(ordered.PAGE)).first()[0] > 1000
