@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -43,7 +43,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.select(id_col, F.col(_FP).alias("fp"))
 
 
-_FP, _PLACE = "__fingerprint", "__place"  # beside all columns of a caller's table
+_FP = "__fingerprint"  # beside all columns of a caller's table
 
 
 def _with_fingerprint(docs: DataFrame, text_col: str, shingle: int = 3) -> DataFrame:
@@ -273,29 +273,3 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def hex_fingerprint(column: str = "fp"):
     """16 lowercase hexadecimal digits."""
     return F.lpad(F.lower(F.hex(column)), 16, "0")
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = 3) -> DataFrame:
-    """One row of each near-duplicate group, with all columns: the one with the smallest id.
-
-    A null id counts as largest, and then the smallest fingerprint decides.  Of
-    rows that share id and fingerprint the first by all columns stays.
-    """
-    groups = cut_lineage(near_groups(docs, id_col, text_col, max_bits))
-    best = F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("id"), F.col("fp").alias("fp"))).alias("best")
-    first = cut_lineage(groups.groupBy("root").agg(best).select("best.id", "best.fp"))
-    counts = groups.groupBy(F.col(id_col).alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    alone = F.col("id").isNotNull() & (F.col("n") == 1)
-    unique = first.join(counts.where(alone).select("id"), "id", "left_semi")
-    kept = docs.join(unique.select(F.col("id").alias(id_col)), id_col, "left_semi")
-    repeated = cut_lineage(counts.where(~alone).select("id"))
-    if repeated.isEmpty():
-        return kept
-    # ids that name several rows: the fingerprint tells which row is meant
-    several = docs.join(repeated, F.col(id_col).eqNullSafe(repeated["id"]), "left_semi")
-    marked = _with_fingerprint(several, text_col)
-    same = marked[id_col].eqNullSafe(first["id"]) & (marked[_FP] == first["fp"])
-    order = [F.col(f"`{c}`").cast("string") if t.startswith("map") else F.col(f"`{c}`") for c, t in docs.dtypes]
-    place = F.row_number().over(Window.partitionBy(id_col, _FP).orderBy(*order))
-    again = marked.join(first, same, "left_semi").withColumn(_PLACE, place).where(F.col(_PLACE) == 1)
-    return kept.unionByName(again.drop(_FP, _PLACE))

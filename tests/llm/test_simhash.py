@@ -98,17 +98,9 @@ def test_groups_on_odd_rows(spark):
     assert got == sorted(want, key=str)
 
 
-def test_drop_near_copies(spark):
-    df = spark.createDataFrame(ROWS, "doc_id long, text string, fp string")
-    kept = simhash.drop_near_copies(df)
-    assert kept.columns == df.columns
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted([3, 7, 1, None, 4], key=str)
-
-
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_groups(df).count() == 0
-    assert simhash.drop_near_copies(df).count() == 0
 
 
 def test_query(spark, sf_dir):
