@@ -1,0 +1,110 @@
+"""The passage model against plain loops: scores by the formulas, and gradients by differences."""
+
+import math
+import random
+from binascii import crc32
+
+import numpy as np
+
+from loomwork.llm import passages
+from loomwork.llm.texts import SPACED, words_of
+
+S = passages.Settings(passage_words=6, buckets=97, width=5, attention=4)
+MARKS = passages._MARKS
+
+
+def texts(n, seed=1):
+    r = random.Random(seed)
+    word = lambda: "".join(r.choice("abAB1é") for _ in range(r.randrange(1, 6))) + r.choice(["", "", ".", ",", "!"])
+    return ["", " ", "one", "x x x x"] + [" ".join(word() for _ in range(r.randrange(40))) for _ in range(n)]
+
+
+def features(word):
+    core = word.strip(MARKS)
+    around = word.replace(core, b" ", 1) if len(core) < len(word) else b""
+    shape = 2 * core[:1].isupper() + core[1:].isupper() + 4 * core.isdigit()
+    return [
+        x % S.buckets
+        for x in (crc32(core.lower()), crc32(b"around" + around[:12]), crc32(b"shape") + shape, crc32(b"length") + min(len(core), 20))
+    ]
+
+
+def slow_score(model, text):
+    words = text.encode().split()
+    cut = [words[i : i + S.passage_words] for i in range(0, len(words), S.passage_words)] or [[]]
+    h = []
+    for p in cut:
+        n = max(1, len(p))
+        same = sum(a == b for a, b in zip(p, p[1:]))
+        facts = [math.log1p(len(p)) / 4, same / n, len(set(p)) / n, sum(map(len, p)) / n / 10, len(p) == 0, len(p) < 8]
+        h.append([
+            math.tanh(
+                sum(float(model["words"][f][i]) for w in p for f in features(w)) / n
+                + sum(float(a) * float(model["facts"][j][i]) for j, a in enumerate(facts)) + float(model["bias"][i])
+            )
+            for i in range(S.width)
+        ])
+    weights = []
+    for v in h:
+        gate = 0.0
+        for k in range(S.attention):
+            t = math.tanh(sum(v[i] * float(model["v"][i][k]) for i in range(S.width)))
+            g = 1 / (1 + math.exp(-sum(v[i] * float(model["u"][i][k]) for i in range(S.width))))
+            gate += t * g * float(model["w"][k])
+        weights.append(math.exp(gate))
+    z = [sum(w * v[i] for w, v in zip(weights, h)) / sum(weights) for i in range(S.width)]
+    return 1 / (1 + math.exp(-sum(a * float(b) for a, b in zip(z, model["out"])) - float(model["out_bias"][0])))
+
+
+def test_scores():
+    model = passages.new_model(S)
+    model["words"] *= 8
+    model["out"] *= 4
+    some = texts(60)
+    got = passages.score(model, [t.encode() for t in some], S)
+    want = [slow_score(model, t) for t in some]
+    assert np.allclose(got, want, atol=1e-4) and max(want) - min(want) > 0.05
+
+
+def test_gradients():
+    """Each against the change of the loss when one number of the model moves."""
+    model = {k: v.astype(np.float64) for k, v in passages.new_model(S).items()}
+    some = [t for t in texts(12, 3)]
+    labels = np.array([i % 2 for i in range(len(some))], np.float64)
+    weights = np.array([1.0 + i % 3 for i in range(len(some))])
+    bags = passages.bags_of(words_of([t.encode() for t in some], SPACED), S)
+
+    def loss():
+        p = [slow_score(model, t) for t in some]
+        return -sum(w * (y * math.log(q) + (1 - y) * math.log(1 - q)) for w, y, q in zip(weights, labels, p)) / weights.sum()
+
+    grads = passages.gradients(model, bags, labels, weights)
+    rows, sums = grads.pop("words")
+    full = np.zeros_like(model["words"])
+    full[rows] = sums
+    grads["words"] = full
+    r = random.Random(2)
+    for name, g in grads.items():
+        for _ in range(4):
+            at = tuple(r.choice(rows) if name == "words" and i == 0 else r.randrange(n) for i, n in enumerate(model[name].shape))
+            old = model[name][at]
+            model[name][at] = old + 1e-4
+            up = loss()
+            model[name][at] = old - 1e-4
+            down = loss()
+            model[name][at] = old
+            assert abs((up - down) / 2e-4 - g[at]) < 2e-4, name
+
+
+def test_fit_takes_the_first_step_of_the_method():
+    """One epoch on one batch: every number moves by the rate against its gradient's sign."""
+    some, labels = texts(8, 5), [i % 2 for i in range(12)]
+    s = passages.Settings(passage_words=6, buckets=97, width=5, attention=4, epochs=1, decay=0.0)
+    before = passages.new_model(s)
+    after = passages.fit([t.encode() for t in some], labels, s)
+    bags = passages.bags_of(words_of([t.encode() for t in some], SPACED), s)
+    y = np.array(labels, np.float32)
+    grads = passages.gradients(before, bags, y, np.where(y > 0, len(y) / y.sum(), len(y) / (len(y) - y.sum())) / 2)
+    for name in ("facts", "v", "u", "w", "out"):
+        large = np.abs(grads[name]) > 1e-5
+        assert np.allclose((after[name] - before[name])[large], -s.rate * np.sign(grads[name])[large], rtol=0.05), name
