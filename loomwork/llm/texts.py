@@ -109,3 +109,8 @@ def slices(batch: pa.RecordBatch, column: int, rows: int = 2048, size: int = 16
         stop = min(max(stop, start + 1), start + rows, batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
+
+
+def bound_batches(spark, size: int = 8 << 20) -> None:
+    """Have Spark send texts to Python in Arrow batches of about ``size`` bytes, from now on in the session."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

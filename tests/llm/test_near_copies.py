@@ -11,14 +11,28 @@ def runs(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
+def alike(a, b):
+    return a == b or bool(a | b) and len(a & b) >= 0.8 * len(a | b) - 1e-9
+
+
 def slow(rows):
-    """Rows in order of id that are like no kept one before."""
-    kept = []
-    for i, text in rows:
-        mine = runs(text)
-        if not any(mine == k or mine | k and len(mine & k) >= 0.8 * len(mine | k) for _, k in kept):
-            kept.append((i, mine))
-    return sorted(i for i, _ in kept)
+    """The smallest id of each group that near copies, of all pairs, connect."""
+    sets = [runs(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            label[i] = i = label[label[i]]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if alike(sets[i], sets[j]):
+                label[find(i)] = find(j)
+    groups = {}
+    for i, (doc_id, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(doc_id)
+    return sorted(map(min, groups.values()))
 
 
 def edited(words, n, r):
@@ -40,6 +54,68 @@ def test_against_all_pairs(spark):
     assert sorted(x.doc_id for x in got.collect()) == slow(rows)
 
 
+def chain(n, r):
+    """Texts of which only neighbours are near copies."""
+    words = [f"c{r.random()}" for _ in range(100)]
+    out = []
+    for _ in range(n):
+        out.append(" ".join(words))
+        words = words[9:] + [f"c{r.random()}" for _ in range(9)]
+    return out
+
+
+def jobs_of(spark, run):
+    """Numbers of Spark jobs that a call starts."""
+    group = f"count-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        out = run()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_chains_take_no_more_rounds(spark):
+    r, found = random.Random(3), {}
+    for n in (10, 200):
+        rows = list(enumerate(chain(n, r)))
+        r.shuffle(rows)
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got, found[n] = jobs_of(spark, lambda: near_copies.drop_near_copies(df).collect())
+        assert sorted(x.doc_id for x in got) == slow(rows) == [0]
+    assert found[200] <= 3 * found[10]
+
+
+def test_recall_at_the_border(spark):
+    """Pairs at 0.8 to 0.85 that nothing else connects."""
+    r, rows = random.Random(5), []
+    while len(rows) < 400:
+        words = [f"p{r.random()}" for _ in range(300)]
+        other = edited(words, 7, r)
+        if 0.8 <= near_copies.jaccard(runs(" ".join(words)), runs(other)) < 0.85:
+            rows += [" ".join(words), other]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    left = near_copies.drop_near_copies(df).count()
+    assert left <= 202  # of 200 pairs, 199 or more
+
+
+def test_a_passage_in_many_texts_links_nothing(spark):
+    r = random.Random(6)
+    passage = " ".join(f"s{i}" for i in range(150))
+    rows = [(i, " ".join(f"d{r.random()}" for _ in range(90)) + " " + passage) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_copies.drop_near_copies(df).count() == 150 == len(slow(rows))
+
+
+def test_very_long_and_clashing_columns(spark):
+    r = random.Random(8)
+    words = [f"w{r.randrange(50_000)}" for _ in range(200_000)]
+    rows = [(i, t, {"k": i}, i, "x", None) for i, t in enumerate([" ".join(words), edited(words, 900, r), "short", "Short "])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, n int, label string, t string")
+    got = near_copies.drop_near_copies(df)
+    assert got.columns == df.columns and sorted(x.doc_id for x in got.collect()) == [0, 2]
+
+
 def test_odd_ids(spark):
     rows = [(None, "a b", 1), (5, "a b", 2), (5, "a b", 3), (None, None, 4), (None, "", 5), (7, "c d", 6), (7, "e f", 7)]
     got = near_copies.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string, s int")).collect()
