@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import public_tokenizers
 
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ from . import (
     token_files, vector_codes, warc,
 )
 
-TOKENIZER = os.environ.get("TOKENIZER_FILE", "/opt/tokenizers/byte_bpe_50k.json")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark, sf_dir, name):

@@ -10,16 +10,16 @@ next level is one look-up away: any token is read without decoding others.
 from __future__ import annotations
 
 import json
+import os
 import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 from pyspark import TaskContext
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..storage import cut_lineage, new_path
-from .texts import give_back, pieces
+from .texts import give_back, slices
 
 # The file format.
 MAGIC = b"DACTOK01"
@@ -142,34 +142,12 @@ _CUT = regex.compile(r" (?=[\p{L}\p{N}\p{P}\p{S}])")
 _PLAIN = regex.compile(r"[\p{L}\p{N}\p{P}\p{S}]")
 
 
-class _First(NamedTuple):
-    """The piece a text begins with, which has no space before it; no piece of a text equals it."""
-
-    piece: str
-
-
-Piece = str | _First
-
-
-class _Places(dict):
-    """Numbers pieces in the order of their coming."""
-
-    def __init__(self):
-        self.new: list[Piece] = []
-        self.count = 0
-
-    def __missing__(self, piece: Piece) -> int:
-        self[piece] = place = self.count
-        self.count += 1
-        self.new.append(piece)
-        return place
-
-
 class PieceEncoder:
     """Encodes texts with a byte-level tokenizer, each distinct piece once.
 
-    A piece is a word with the space before it.  Pieces seen are remembered
-    until there are ``remember`` of them; then it starts afresh.
+    A piece is a word with the space before it; the piece a text begins with has
+    none and is of a kind of its own.  Pieces seen are remembered until there
+    are ``remember`` of them; then it starts afresh.
     """
 
     def __init__(self, path: str, remember: int = 250_000, joined_chars: int = 1 << 10):
@@ -182,80 +160,119 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place = _Places()
-        self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _tokens(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: list[Piece]) -> None:
-        """Encode new pieces: those after a space together, cut apart by their bytes."""
-        at_first = np.fromiter((isinstance(p, _First) for p in new), bool, len(new))
-        inner = [p for p in new if isinstance(p, str)]
-        per = max(1, self.joined_chars * len(inner) // max(1, sum(map(len, inner))))
-        joined = [" " + " ".join(inner[i : i + per]) for i in range(0, len(inner), per)]
-        ids = np.fromiter(chain.from_iterable(self._tokens(joined)), np.uint32)
-        piece_ends = np.cumsum(np.fromiter(map(len, map(str.encode, inner)), np.int64, len(inner)) + 1)
-        token_ends = np.cumsum(self.token_bytes[ids])
+        self.inner: dict[str, int] = {}  # places in the arrays below
+        self.first: dict[str, int] = {}
+        self.sizes, self.begins, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def _tokens(self, texts: list[str], at_once: int = 256) -> list[np.ndarray]:
+        """Ids of each text; what the library returns is much larger, so some texts at a time."""
+        out: list[np.ndarray] = []
+        for i in range(0, len(texts), at_once):
+            some = self.tokenizer.encode_batch_fast(texts[i : i + at_once], add_special_tokens=False)
+            out += [np.array(e.ids, np.uint32) for e in some]
+        return out
+
+    def _add(self, known: dict[str, int], pieces: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        known.update(zip(pieces, range(len(self.sizes), len(self.sizes) + len(pieces))))
+        begins = np.cumsum(sizes) - sizes + len(self.ids)
+        self.sizes, self.begins = np.concatenate([self.sizes, sizes]), np.concatenate([self.begins, begins])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _learn(self, pieces: list[str], lengths: np.ndarray) -> None:
+        """Encode new pieces together, each after a space, and cut them apart by their bytes."""
+        per = max(1, self.joined_chars * len(pieces) // max(1, int(lengths.sum())))
+        tokens = self._tokens([" " + " ".join(pieces[i : i + per]) for i in range(0, len(pieces), per)])
+        ids = np.concatenate([np.zeros(0, np.uint32), *tokens])
+        piece_ends, token_ends = np.cumsum(lengths + 1), np.cumsum(self.token_bytes[ids])
         places = np.searchsorted(token_ends, piece_ends)
-        if len(inner) and not np.array_equal(token_ends[places], piece_ends):
+        if len(pieces) and not np.array_equal(token_ends[places], piece_ends):
             raise ValueError("a token reaches over two pieces: not a byte-level tokenizer")
-        alone = self._tokens([p.piece for p in new if isinstance(p, _First)])
-        sizes = np.zeros(len(new), np.int64)
-        sizes[~at_first], sizes[at_first] = np.diff(places + 1, prepend=0), [len(e) for e in alone]
-        both = np.zeros(sizes.sum(), np.uint32)
-        from_alone = np.repeat(at_first, sizes)
-        both[~from_alone], both[from_alone] = ids, np.fromiter(chain.from_iterable(alone), np.uint32)
-        self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, both])
-
-    def _number(self, cut: list[list[Piece]]) -> np.ndarray:
-        return np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, sum(map(len, cut)))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and how many each has."""
-        if len(self.place) > self.remember:
+        self._add(self.inner, pieces, np.diff(places + 1, prepend=0), ids)
+
+    def _inner(self, pieces: list[str], lengths: np.ndarray) -> np.ndarray:
+        """Places of different pieces that follow a space; new ones are learned."""
+        found = list(map(self.inner.get, pieces))
+        new = [i for i, place in enumerate(found) if place is None]
+        if new:
+            at = len(self.sizes)
+            self._learn([pieces[i] for i in new], lengths[new])
+            for i, place in zip(new, range(at, at + len(new))):
+                found[i] = place
+        return np.array(found, np.int64)
+
+    def _first(self, pieces: list[str]) -> np.ndarray:
+        new = list(dict.fromkeys(p for p in pieces if p not in self.first))
+        if new:
+            tokens = self._tokens(new)
+            self._add(self.first, new, np.array([len(t) for t in tokens]), np.concatenate(tokens))
+        return np.fromiter(map(self.first.__getitem__, pieces), np.int64, len(pieces))
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and how many each has.
+
+        Arrow cuts the texts and finds their different pieces; only these are looked up.
+        """
+        if len(self.sizes) > self.remember:
             self._forget()
-        cut = []
-        for text in texts:
-            parts: list[Piece] = text.split(" ")
-            parts[0] = _First(parts[0])
-            cut.append(parts)
-        used = self._number(cut)
-        if self.place.new:
-            odd = {p for p in self.place.new if isinstance(p, str) and not (p[:1].isalpha() or _PLAIN.match(p))}
-            if odd:  # spaces that don't begin a piece; these are never remembered
-                cut = [p if odd.isdisjoint(p) else self._cut_with_care(t) for t, p in zip(texts, cut)]
-                self.place.new = [p for p in self.place.new if p not in odd]
-                for piece in odd:
-                    del self.place[piece]
-                self._renumber()
-                used = self._number(cut)
-            self._learn(self.place.new)
-            self.place.new = []
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        lists = pc.split_pattern(texts, " ")
+        flat, bounds = lists.flatten(), np.asarray(lists.offsets).astype(np.int64)
+        later = np.ones(len(flat), bool)
+        later[bounds[:-1]] = False
+        inner = flat.filter(pa.array(later)).dictionary_encode()
+        types, codes = inner.dictionary, np.asarray(inner.indices)
+        strange = _strange(types)
+        if strange.any():  # spaces that don't begin a piece; these are never remembered
+            places = np.full(len(types), -1)
+            plain = types.filter(pa.array(~strange))
+            places[~strange] = self._inner(plain.to_numpy(zero_copy_only=False).tolist(), _bytes_of(plain))
+        else:
+            places = self._inner(types.to_numpy(zero_copy_only=False).tolist(), _bytes_of(types))
+        used, per_text = np.empty(len(flat), np.int64), np.diff(bounds)
+        used[later] = places[codes]
+        used[bounds[:-1]] = self._first(flat.take(pa.array(bounds[:-1])).to_pylist())
+        if strange.any():
+            owner = np.repeat(np.arange(len(texts)), per_text - 1)
+            with_care = {i: self._cut_with_care(texts[i].as_py()) for i in np.unique(owner[strange[codes]]).tolist()}
+            parts = [with_care.get(i, used[a:b]) for i, (a, b) in enumerate(zip(bounds.tolist(), bounds[1:].tolist()))]
+            used, per_text = np.concatenate(parts), np.array([len(p) for p in parts])
         sizes = self.sizes[used]
         ends = np.cumsum(sizes)
-        begins = (np.cumsum(self.sizes) - self.sizes)[used]
-        flat = self.ids[np.repeat(begins - (ends - sizes), sizes) + np.arange(sizes.sum())]
-        text_ends = np.concatenate([[0], ends])[np.cumsum([len(parts) for parts in cut])]
-        return flat, np.diff(text_ends, prepend=0)
+        at = np.repeat(self.begins[used] - (ends - sizes), sizes)
+        at += np.arange(len(at))
+        text_ends = np.concatenate([[0], ends])[np.cumsum(per_text)]
+        return self.ids[at], np.diff(text_ends, prepend=0)
+
+    def _cut_with_care(self, text: str) -> np.ndarray:
+        """Places of the pieces of a text with spaces that don't begin one."""
+        first, *rest = _CUT.split(text)
+        different = list(dict.fromkeys(rest))
+        places = dict(zip(different, self._inner(different, np.array([len(p.encode()) for p in different], np.int64)).tolist()))
+        return np.array([int(self._first([first])[0]), *(places[p] for p in rest)], np.int64)
+
+
+def _bytes_of(pieces: pa.Array) -> np.ndarray:
+    return np.asarray(pc.binary_length(pieces)).astype(np.int64)
 
-    @staticmethod
-    def _cut_with_care(text: str) -> list[Piece]:
-        parts: list[Piece] = _CUT.split(text)
-        parts[0] = _First(parts[0])
-        return parts
 
-    def _renumber(self) -> None:
-        """Close the gaps that pieces taken out have left among the new ones."""
-        self.place.count = len(self.sizes)
-        for piece in self.place.new:
-            self.place[piece] = self.place.count
-            self.place.count += 1
+def _strange(pieces: pa.Array) -> np.ndarray:
+    """Whether a space before a piece does not begin a pre-token."""
+    offsets = np.frombuffer(pieces.buffers()[1], np.int32)[pieces.offset : pieces.offset + len(pieces) + 1]
+    data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)
+    first = np.append(data, np.uint8(0))[offsets[:-1]]
+    # ASCII marks, digits and letters do; the rest is looked at one by one
+    out = (first < 0x21) | (first > 0x7E) | (np.diff(offsets) == 0)
+    for i in np.flatnonzero(out).tolist():
+        out[i] = not _PLAIN.match(pieces[i].as_py())
+    return out
 
 
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> PieceEncoder:
     """One for all tasks that a worker runs."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core, and each thread memory of its own
     return PieceEncoder(path)
 
 
@@ -316,8 +333,8 @@ def write_tokens(
         fs.create_dir(base, recursive=True)
         held = 0
         for batch in batches:
-            for some in pieces(batch, 512):
-                flat, n = encoder.encode(some.column(1).to_pylist())
+            for some in slices(batch, 1, 1024, 2 << 20):
+                flat, n = encoder.encode(some.column(1))
                 with_end = np.insert(flat, np.cumsum(n), layout.end_id)
                 ids += some.column(0).to_pylist()
                 tokens.append(with_end)
