@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +36,15 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Let streams that start in this session keep their state in RocksDB.
+
+    State with several variables, timers among them, is only held by it; Spark's default provider
+    ends such a query.  A stream that goes on keeps the provider that its checkpoint names.
+    """
+    spark.conf.set(STATE_STORE, ROCKSDB)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

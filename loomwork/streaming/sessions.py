@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.parse import LOG_TIME_FORMAT
 from ..operators.sessions import metric_record, session_metrics
-from ..storage import new_path
+from ..storage import new_path, use_rocksdb
 
 # executors get the functions below with the plan and need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -169,8 +169,10 @@ def session_lines(events: DataFrame, key: str, time: str, line: Column, gap_seco
     earlier events have come, so the start is final, and the text is the same
     however the stream was cut into batches and in whatever order events came,
     but for those later than the watermark, which are dropped.  A key's events of
-    the time within the watermark are held by one task.
+    the time within the watermark are held by one task.  Such state needs RocksDB,
+    which the session is told to use.
     """
+    use_rocksdb(events.sparkSession)
     # as text a null key is a key like any other; by itself it would share a call with its neighbour
     text_key = F.to_json(F.struct(F.col(key).alias("k"))).alias("key")
     rows = events.withWatermark(time, watermark).select(text_key, time, F.unix_micros(time).alias("us"), line.alias("line"))

@@ -60,6 +60,22 @@ def test_word_counts(spark, tmp_path):
     assert rows(cased) == [("Hi", 1), ("bob", 1), ("hi", 2), ("there", 1)]
 
 
+@pytest.fixture
+def default_state_store(spark):
+    """The session as Spark starts it, without the state store of ``session.SETTINGS``."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_word_counts_by_state_in_a_plain_session(spark, tmp_path, default_state_store):
+    lines = text_stream(spark, tmp_path / "in", *LINES)
+    out = ResultTable(counts.word_counts_by_state(lines, buckets=2), "update", keys=["word"]).run()
+    assert rows(out) == [("bob", 1), ("hi", 3), ("there", 1)]
+
+
 def test_batch_counts_do_not_carry_over(spark, tmp_path):
     out = counts.batch_word_counts(text_stream(spark, tmp_path / "in", *LINES)).run()
     assert rows(out.select("batch_id", "word", "n")) == [(0, "hi", 1), (0, "there", 1), (1, "bob", 1), (1, "hi", 2)]
@@ -342,6 +358,10 @@ def test_session_text_is_the_same_from_any_batches(spark, tmp_path, parts):
     assert sorted(seen, key=repr) == expected_lines(events, 60)
 
 
+def test_session_text_in_a_plain_session(spark, tmp_path, default_state_store):
+    test_session_text_is_the_same_from_any_batches(spark, tmp_path, 3)
+
+
 def test_metrics_of_every_batch(spark, tmp_path):
     """All metrics by plain Python over the events seen up to each batch."""
     import random
