@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.parse import explode_tokens
+from ..storage import use_rocksdb
 from .tables import ResultTable
 
 # executors get the functions below with the plan and need not have this package
@@ -67,8 +68,10 @@ def word_counts_by_state(lines: DataFrame, column: str = "value", buckets: int =
     Each Arrow batch is combined to counts before the shuffle, so a frequent
     word reaches its state as a few rows.  ``buckets`` says how many calls a batch
     is at most, as words of one bucket share a call; each word has a value of its
-    own in state, and only those of words that came are written.
+    own in state, and only those of words that came are written.  Such state needs RocksDB,
+    which the session is told to use.
     """
+    use_rocksdb(lines.sparkSession)
     words = explode_tokens(lines, column).mapInPandas(_combine, "word string, n long")
     bucket = F.pmod(F.xxhash64("word"), F.lit(buckets))
     return words.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(
