@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -9,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+ROWS_A_PARTITION = 500_000
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -67,6 +70,26 @@ def drop_cut(df: DataFrame | None) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing names any more.
+
+    It does so when the driver's JVM collects them, which may be long after a loop has filled the disks.
+    """
+    gc.collect()  # first Python's handles of plans
+    spark._jvm.System.gc()
+
+
+def room_for(rows: DataFrame, times: float = 1) -> None:
+    """Let shuffles begin with a partition for each ``ROWS_A_PARTITION`` of ``times`` the rows of a cut table.
+
+    Spark joins small neighbours again, but never splits a partition of an aggregation, so with a fixed number
+    the memory and the spills of a task grow with the input.  A larger number that is set already stays.
+    """
+    spark = rows.sparkSession
+    at_least = int(spark.conf.get(INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL, max(at_least, int(rows.count() * times / ROWS_A_PARTITION)))
+
+
 def bucketed(df: DataFrame, *columns: str, buckets: int | None = None, placed: bool = False) -> DataFrame:
     """``cut_lineage`` into a table bucketed by ``columns``: joins on them do not move it again.
 

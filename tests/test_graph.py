@@ -97,6 +97,19 @@ def test_pagerank_goes_on_until_it_converges(spark):
     assert got == pytest.approx(brute_ranks(path, 0.01, 60))
 
 
+def test_pagerank_of_moves_in_circles_takes_few_rounds(spark, monkeypatch):
+    """Three kinds of vertices that point to each other; plain rounds are over 60."""
+    import random
+
+    r, n = random.Random(1), 60
+    pairs = [(3 * r.randrange(n) + k, 3 * r.randrange(n if k < 2 else 2 * n) % (3 * n) + (k + 1) % 3) for k in range(3) for _ in range(900)]
+    made, one_sum = [], graph.fan_out
+    monkeypatch.setattr(graph, "fan_out", lambda *a: made.append(1) or one_sum(*a))
+    got = {x.id: x["rank"] for x in graph.pagerank(spark.createDataFrame(pairs, "src long, dst long")).collect()}
+    assert got == pytest.approx(brute_ranks(pairs, 0.15, 300), abs=1e-4 / 0.15)
+    assert len(made) <= 26
+
+
 def test_spread_goes_on_until_nothing_is_new(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long").coalesce(1)
     seed = spark.createDataFrame([(0, True, 0)], "id long, reached boolean, time long")
