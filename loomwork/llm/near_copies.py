@@ -6,10 +6,15 @@ not against each other; groups grow from the links found, and only where a band
 still joins texts of different groups is there another round, with other texts
 to be held against.  So the number of rounds does not depend on the length of
 chains or the size of groups.
+
+What bands miss, or hold against no text that is like it, is found last and
+exactly: near copies share one of their first shingles in any order of all
+shingles, and every pair of different groups that does is compared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,10 +63,15 @@ def jaccard(a: set, b: set) -> float:
 
 
 class Sketcher:
-    """Of texts: a hash of the set of shingles, a key for each band of its MinHash values, and a fingerprint."""
+    """Of texts: a hash of the set of shingles, a key for each band of its MinHash values, and a fingerprint.
+
+    ``common`` are hashes of frequent shingles, the most frequent last, which come last in ``first``.
+    """
 
-    def __init__(self, like: Likeness):
+    def __init__(self, like: Likeness, common: np.ndarray = np.array([], np.uint64)):
         self.like = like
+        self.rank = np.argsort(common)
+        self.common = common[self.rank]
         rng = np.random.default_rng(like.seed)
         n = like.bands * like.rows
         self.odd = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -78,6 +88,17 @@ class Sketcher:
             else:
                 yield np.array([digest(b" ".join(text.lower().split()), self.like.seed)] if b > a else [], np.uint64)
 
+    def first(self, hashes: np.ndarray) -> np.ndarray:
+        """So many hashes, by one order of all, that two sets that are near copies have one of them in both."""
+        k = len(hashes)
+        if not k:
+            return hashes
+        at = np.searchsorted(self.common, hashes)
+        known = at < len(self.common)
+        known[known] = self.common[at[known]] == hashes[known]
+        often = hashes[known][np.argsort(self.rank[at[known]])]
+        return np.concatenate([hashes[~known], often])[: k - math.ceil(self.like.least * k - 1e-9) + 1]
+
     def __call__(self, hashes: np.ndarray) -> tuple[bytes, np.ndarray, int]:
         if not len(hashes):
             return bytes(16), np.zeros(self.like.bands, np.uint64), 0
@@ -111,25 +132,53 @@ def _different_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return bucketed(first.select(_TEXT, f"{_ROW}.*"), _TEXT, placed=True)
 
 
-def _sketches(rows: DataFrame, id_col: str, text_col: str, like: Likeness) -> DataFrame:
-    """``(id, t, s, keys, fp)``: id and key of a text, hash of its set of shingles, bands' keys, fingerprint."""
+SAMPLE, OFTEN, COMMON = 20_000, 8, 50_000  # texts looked at, uses in them that make a shingle frequent, most of these
+
+
+def _common(rows: DataFrame, text_col: str, like: Likeness) -> np.ndarray:
+    """Hashes of shingles that a sample of texts uses often, the most frequent last; they decide an order, no result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketcher(like)
+        for batch in batches:
+            for part in slices(batch, 0, 512, 4 << 20):
+                every = np.concatenate(list(sketch.hashes(as_bytes(part.column(0)))))
+                yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64))], ["h"])
+        give_back()
+
+    n = rows.count()
+    some = rows.sample(min(1.0, SAMPLE / n), like.seed) if n else rows
+    hashes = some.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(run, "h long")
+    found = hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "h").limit(COMMON)
+    return np.array([r.h for r in found.select("h").collect()][::-1], np.int64).view(np.uint64)
+
+
+def _sketches(rows: DataFrame, id_col: str, text_col: str, like: Likeness) -> DataFrame:
+    """``(id, t, s, keys, fp, size, first)``: id and key of a text, hash of its set of shingles, bands' keys,
+    fingerprint, number of shingles and the first of them."""
+    common = _common(rows, text_col, like)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = Sketcher(like, common)
         for batch in batches:
             for part in slices(batch, 2, 512, 4 << 20):
-                sets, keys, prints = zip(*map(sketch, sketch.hashes(as_bytes(part.column(2)))))
+                hashes = list(sketch.hashes(as_bytes(part.column(2))))
+                sets, keys, prints = zip(*map(sketch, hashes))
+                firsts = [sketch.first(h) for h in hashes]
+                ends = pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32())
+                first = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(firsts).astype(np.uint64).view(np.int64)))
                 flat = pa.array(np.concatenate(keys).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * like.bands, pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sets, pa.binary()), lists, pa.array(np.array(prints, np.uint64).view(np.int64))],
-                    ["id", "t", "s", "keys", "fp"],
+                    [part.column(0), part.column(1), pa.array(sets, pa.binary()), lists, pa.array(np.array(prints, np.uint64).view(np.int64)),
+                     pa.array([len(h) for h in hashes], pa.int32()), first],
+                    ["id", "t", "s", "keys", "fp", "size", "first"],
                 )
         give_back()
 
     given = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(_TEXT).alias("t"), F.col(f"`{text_col}`").alias("text"))
     kind = given.schema[0].dataType.simpleString()
-    return given.mapInArrow(run, f"id {kind}, t binary, s binary, keys array<long>, fp long")
+    return given.mapInArrow(run, f"id {kind}, t binary, s binary, keys array<long>, fp long, size int, first array<long>")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
@@ -187,6 +236,37 @@ def _by_fingerprint(sets: DataFrame, like: Likeness) -> DataFrame:
     return close.unionByName(equal).distinct()
 
 
+def _by_first(sets: DataFrame, labels: DataFrame | None, like: Likeness) -> DataFrame:
+    """``(n, other)``: all sets of different groups that may be near copies, by shingles among the first of both.
+
+    At the first that they share, what follows in both must suffice as well.
+    """
+    told = sets.select("n", "size", "first", F.col("n").alias("label"))
+    if labels is not None:
+        told = told.drop("label").join(labels, "n", "left").withColumn("label", F.coalesce("label", "n"))
+    each = told.select("n", "size", "label", F.lit(0).alias("band"), F.posexplode("first").alias("place", "key"))
+    active = cut_lineage(_mixed(each))
+    a, b = (active.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("n", "size", "label", "place"))) for x in "ab")
+    ends = (F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))).cast("double")
+    enough = ends >= (F.col("size_a") + F.col("size_b")) * like.least / (1 + like.least) - 1e-6
+    pairs = a.join(b, "key").where((F.col("label_a") < F.col("label_b")) & enough)
+    return pairs.select(F.col("n_a").alias("n"), F.col("n_b").alias("other")).distinct()
+
+
+def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``labels`` with groups joined that links connect."""
+    if labels is not None:  # links between groups
+        known = labels.withColumnRenamed("label", "l")
+        to = known.withColumnsRenamed({"n": "other", "l": "m"})
+        links = links.join(known, "n", "left").join(to, "other", "left").select(F.coalesce("l", "n").alias("n"), F.coalesce("m", "other").alias("other"))
+    roots = components(links.select(F.col("n").alias("a"), F.col("other").alias("b"))).select(F.col("a").alias("label"), "root")
+    if labels is None:
+        return roots.withColumnsRenamed({"label": "n", "root": "label"})
+    moved = labels.join(roots, "label", "left").select("n", F.coalesce("root", "label").alias("label"))
+    fresh = roots.join(labels, roots["label"] == labels["n"], "left_anti").withColumnsRenamed({"label": "n", "root": "label"})
+    return cut_lineage(moved.unionByName(fresh))
+
+
 def _grouped(sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     """``(n, label)`` of the sets that are in a group with others; the label is one of the group's ``n``."""
     keys = sets.select("n", F.posexplode("keys").alias("band", "key"), F.col("n").alias("label"))
@@ -198,23 +278,20 @@ def _grouped(sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
         links = cut_lineage(_alike(pairs, sets, texts, like))
         drop_cut(pairs)
         if links.isEmpty():
-            return labels if labels is not None else links.select("n", F.col("other").alias("label"))
-        if labels is not None:  # links between groups
-            known = labels.withColumnRenamed("label", "l")
-            to = known.withColumnsRenamed({"n": "other", "l": "m"})
-            links = links.join(known, "n", "left").join(to, "other", "left").select(F.coalesce("l", "n").alias("n"), F.coalesce("m", "other").alias("other"))
-        roots = components(links.select(F.col("n").alias("a"), F.col("other").alias("b"))).select(F.col("a").alias("label"), "root")
-        if labels is None:
-            labels = roots.withColumnsRenamed({"label": "n", "root": "label"})
-        else:
-            moved = labels.join(roots, "label", "left").select("n", F.coalesce("root", "label").alias("label"))
-            fresh = roots.join(labels, roots["label"] == labels["n"], "left_anti").withColumnsRenamed({"label": "n", "root": "label"})
-            labels = cut_lineage(moved.unionByName(fresh))
+            break
+        labels = _merged(labels, links)
         before = active
         told = active.drop("label").join(labels, "n", "left").withColumn("label", F.coalesce("label", "n"))
         active = cut_lineage(_mixed(told.select("n", "band", "key", "label")))
         drop_cut(before)
         more, seed = None, seed + 1
+    drop_cut(active)
+    pairs = cut_lineage(_by_first(sets, labels, like))
+    links = cut_lineage(_alike(pairs, sets, texts, like))
+    drop_cut(pairs)
+    if links.isEmpty():
+        return labels if labels is not None else links.select("n", F.col("other").alias("label"))
+    return _merged(labels, links)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = Likeness()) -> DataFrame:
@@ -226,15 +303,15 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     decides; of rows with one id and text the first by all columns stays.  An
     empty table gives no rows.
 
-    Two near copies share a band, or a close fingerprint, with the probability
-    of ``Likeness.at_least``; each text of a band is held against one text, and
-    again against others for as long as that links groups anew.
+    Bands and fingerprints make the groups in few comparisons, and pairs of
+    different groups that share one of their first shingles are then compared
+    all, so no link is left out (but by equal 64-bit hashes of different shingles).
     """
     rows = _different_texts(docs, id_col, text_col)
     sketches = cut_lineage(_sketches(rows, id_col, text_col, like))
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("least")
-    merged = sketches.groupBy("s").agg(least, F.first("keys").alias("keys"), F.first("fp").alias("fp"))
-    sets = cut_lineage(merged.select(F.monotonically_increasing_id().alias("n"), "least", F.col("least.t").alias("t"), "keys", "fp"))
+    merged = sketches.groupBy("s").agg(least, *(F.first(c).alias(c) for c in ("keys", "fp", "size", "first")))
+    sets = cut_lineage(merged.select(F.monotonically_increasing_id().alias("n"), "least", F.col("least.t").alias("t"), "keys", "fp", "size", "first"))
     labels = _grouped(sets, rows.select(F.col(_TEXT).alias("t"), F.col(f"`{text_col}`").alias("text")), like)
     placed = sets.select("n", "least").join(labels, "n", "left")
     first = placed.groupBy(F.coalesce("label", "n").alias("label")).agg(F.min("least").alias("least")).select(F.col("least.t").alias(_TEXT))

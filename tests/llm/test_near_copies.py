@@ -99,6 +99,20 @@ def test_recall_at_the_border(spark):
     assert left <= 202  # of 200 pairs, 199 or more
 
 
+def test_pairs_that_no_band_retrieves(spark):
+    """Near copies that share no band and whose fingerprints are far apart."""
+    like, missed = near_copies.Likeness(), []
+    sketch = near_copies.Sketcher(like)
+    for seed in (902, 1464):
+        r = random.Random(seed)
+        words = [f"m{r.random()}" for _ in range(49)]
+        missed += [" ".join(words), edited(words, 1, r)]
+        (_, a, f), (_, b, g) = map(sketch, sketch.hashes([t.encode() for t in missed[-2:]]))
+        assert alike(*map(runs, missed[-2:])) and not (a == b).any() and (f ^ g).bit_count() > like.max_bits
+    df = spark.createDataFrame(list(enumerate(missed)), "doc_id long, text string")
+    assert sorted(x.doc_id for x in near_copies.drop_near_copies(df).collect()) == [0, 2]
+
+
 def test_a_passage_in_many_texts_links_nothing(spark):
     r = random.Random(6)
     passage = " ".join(f"s{i}" for i in range(150))
