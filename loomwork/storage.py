@@ -79,15 +79,15 @@ def release_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def room_for(rows: DataFrame, times: float = 1) -> None:
-    """Let shuffles begin with a partition for each ``ROWS_A_PARTITION`` of ``times`` the rows of a cut table.
+def room_for(rows: DataFrame, expected: float | None = None) -> None:
+    """Let shuffles begin with a partition for each ``ROWS_A_PARTITION`` rows of a cut table, or of the ``expected``.
 
     Spark joins small neighbours again, but never splits a partition of an aggregation, so with a fixed number
     the memory and the spills of a task grow with the input.  A larger number that is set already stays.
     """
     spark = rows.sparkSession
     at_least = int(spark.conf.get(INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL, max(at_least, int(rows.count() * times / ROWS_A_PARTITION)))
+    spark.conf.set(INITIAL, max(at_least, int((rows.count() if expected is None else expected) / ROWS_A_PARTITION)))
 
 
 def bucketed(df: DataFrame, *columns: str, buckets: int | None = None, placed: bool = False) -> DataFrame:

@@ -52,6 +52,23 @@ def test_spread(edges, vertices, slice_links):
     assert got == {i: want.get(i, (False, 0)) for i in range(40)}
 
 
+def test_spread_doubles_links_after_repeats_are_gone(spark, monkeypatch):
+    from loomwork import storage
+
+    pairs, made, sliced = [(1, 2), (2, 1), (1, 2), (2, 3), (7, 7)] * 4, [], graph.sliced
+    monkeypatch.setattr(graph, "sliced", lambda links, n: made.append(links) or sliced(links, n))
+    before = spark.conf.get(storage.INITIAL, None)
+    spark.conf.unset(storage.INITIAL)
+    monkeypatch.setattr(storage, "ROWS_A_PARTITION", 0.1)
+    seeds = spark.createDataFrame([(1, True, 0)], "id long, reached boolean, time long")
+    got = {r["id"]: (r["reached"], r["time"]) for r in graph.spread(seeds, spark.createDataFrame(pairs, "src long, dst long")).collect()}
+    assert got == {1: (True, 0), 2: (True, 1), 3: (True, 2), 7: (False, 0)}
+    assert sorted(tuple(r) for r in made[0].collect()) == [(1, 2), (2, 1), (2, 3), (3, 2)]
+    assert len(made[0].inputFiles()) > 0  # read from what was written, not from the caller's rows again
+    assert int(spark.conf.get(storage.INITIAL)) >= 30
+    spark.conf.unset(storage.INITIAL) if before is None else spark.conf.set(storage.INITIAL, before)
+
+
 def test_spread_is_by_round_not_by_least_time(spark):
     # 1 starts at time 10 next to 2; 5 starts at 0, three links away from 2
     edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 5)], "src long, dst long")
