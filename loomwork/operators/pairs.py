@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
+from ..storage import cut_lineage, room_for
 
 BLOCK_ITEMS = 2_000  # items of one basket that meet as many others in one task; any value gives equal results
 
@@ -36,6 +36,9 @@ def pair_counts(
         .groupBy(F.col(basket).alias("_k"), F.col(item).alias("_x"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    # pairs are counted by hash maps, so the number of pairs decides; by baskets' sizes, which is exact or more
+    sizes = items.groupBy("_k").agg(F.count(F.lit(1)).cast("double").alias("_size"))
+    room_for(items, sizes.agg(F.sum(F.col("_size") * F.col("_size") / 2)).first()[0] or 0)
     baskets = items.groupBy(F.col("_k").alias("_basket")).agg(F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_size"))
     whole = items.join(baskets, F.col("_k").eqNullSafe(F.col("_basket"))).drop("_basket")
     if min_count > 1:

@@ -64,6 +64,18 @@ def test_pair_counts(baskets, block):
     assert len(got) == 59 and sum(got.values()) == 89 and got[1, 2] == 5 and got[2, 12] == 3
 
 
+def test_pairs_begin_with_partitions_by_their_number(spark, baskets, monkeypatch):
+    from loomwork import storage
+
+    before = spark.conf.get(storage.INITIAL, None)
+    spark.conf.unset(storage.INITIAL)
+    monkeypatch.setattr(storage, "ROWS_A_PARTITION", 3)
+    out = pairs.pair_counts(baskets, "id", "item")
+    assert int(spark.conf.get(storage.INITIAL)) >= 59 // 3
+    assert {(r["a"], r["b"]): r["n"] for r in out.collect()} == brute_pairs()
+    spark.conf.unset(storage.INITIAL) if before is None else spark.conf.set(storage.INITIAL, before)
+
+
 @pytest.mark.parametrize("segments", [1, 3])
 def test_nested_pair_counts(baskets, segments):
     out = pairs.pair_counts_nested(baskets, "id", "item", segments=segments, block_items=2).collect()
