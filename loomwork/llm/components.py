@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut_lineage
+from ..storage import cut_lineage, drop_cut
 
 
 def _state(links: DataFrame) -> tuple:
@@ -43,7 +43,8 @@ def components(links: DataFrame) -> DataFrame:
     now = cut_lineage(links.where("a <> b").select("a", "b").distinct())
     state = _state(now)
     while state[0]:
-        now = cut_lineage(_small_star(_large_star(now).distinct()).where("a <> b").distinct())
+        old, now = now, cut_lineage(_small_star(_large_star(now).distinct()).where("a <> b").distinct())
+        drop_cut(old)
         before, state = state, _state(now)
         if before == state:
             break

@@ -8,8 +8,10 @@ to be held against.  So the number of rounds does not depend on the length of
 chains or the size of groups.
 
 What bands miss, or hold against no text that is like it, is found last and
-exactly: near copies share one of their first shingles in any order of all
-shingles, and every pair of different groups that does is compared.
+exactly: of the first shingles of a text, in any order of all shingles, a near
+copy lacks at most a fifth of the text's.  A text of whose first shingles more
+are in no other group has no near copy there; the others are few, and are
+compared with all texts that share one of their rarest first shingles.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import bucketed, cut_lineage, drop_cut
+from pyspark.sql.window import Window
+
+from ..storage import bucketed, cut_lineage, drop_cut, release_shuffles
 from .components import components
 from .licenses import bands_for, shingle_hashes
 from .simhash import close_links
@@ -88,16 +92,28 @@ class Sketcher:
             else:
                 yield np.array([digest(b" ".join(text.lower().split()), self.like.seed)] if b > a else [], np.uint64)
 
-    def first(self, hashes: np.ndarray) -> np.ndarray:
-        """So many hashes, by one order of all, that two sets that are near copies have one of them in both."""
+    def first(self, hashes: np.ndarray) -> tuple[np.ndarray, int, int]:
+        """The first hashes by one order of all, how many of them are at least in a near copy, and their end.
+
+        A set's hashes up to its end are all among its first.  Ends are in the order of hashes, so of
+        two near copies that with the smaller end, or either, has that many of its first in both.
+        """
         k = len(hashes)
         if not k:
-            return hashes
+            return hashes, 0, 0
         at = np.searchsorted(self.common, hashes)
         known = at < len(self.common)
         known[known] = self.common[at[known]] == hashes[known]
         often = hashes[known][np.argsort(self.rank[at[known]])]
-        return np.concatenate([hashes[~known], often])[: k - math.ceil(self.like.least * k - 1e-9) + 1]
+        lacking = k - math.ceil(self.like.least * k - 1e-9)
+        n, rare = min(k, lacking + 1 + (lacking + 1) // 2), k - len(often)
+        if n == k:
+            end = (1 << 63) - 1
+        elif n <= rare:
+            end = int(hashes[~known][n - 1]) >> 2
+        else:
+            end = (1 << 62) + int(self.rank[np.searchsorted(self.common, often[n - rare - 1])])
+        return np.concatenate([hashes[~known], often])[:n], n - lacking, end
 
     def __call__(self, hashes: np.ndarray) -> tuple[bytes, np.ndarray, int]:
         if not len(hashes):
@@ -154,8 +170,8 @@ def _common(rows: DataFrame, text_col: str, like: Likeness) -> np.ndarray:
 
 
 def _sketches(rows: DataFrame, id_col: str, text_col: str, like: Likeness) -> DataFrame:
-    """``(id, t, s, keys, fp, size, first)``: id and key of a text, hash of its set of shingles, bands' keys,
-    fingerprint, number of shingles and the first of them."""
+    """``(id, t, s, keys, fp, size, first, need, end)``: id and key of a text, hash of its set of shingles,
+    bands' keys, fingerprint, number of shingles, the first of them and what ``Sketcher.first`` says of these."""
     common = _common(rows, text_col, like)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,21 +180,21 @@ def _sketches(rows: DataFrame, id_col: str, text_col: str, like: Likeness) -> Da
             for part in slices(batch, 2, 512, 4 << 20):
                 hashes = list(sketch.hashes(as_bytes(part.column(2))))
                 sets, keys, prints = zip(*map(sketch, hashes))
-                firsts = [sketch.first(h) for h in hashes]
+                firsts, needs, last = zip(*map(sketch.first, hashes))
                 ends = pa.array(np.cumsum([0, *map(len, firsts)]), pa.int32())
                 first = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(firsts).astype(np.uint64).view(np.int64)))
                 flat = pa.array(np.concatenate(keys).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * like.bands, pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(sets, pa.binary()), lists, pa.array(np.array(prints, np.uint64).view(np.int64)),
-                     pa.array([len(h) for h in hashes], pa.int32()), first],
-                    ["id", "t", "s", "keys", "fp", "size", "first"],
+                     pa.array([len(h) for h in hashes], pa.int32()), first, pa.array(needs, pa.int32()), pa.array(last, pa.int64())],
+                    ["id", "t", "s", "keys", "fp", "size", "first", "need", "end"],
                 )
         give_back()
 
     given = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(_TEXT).alias("t"), F.col(f"`{text_col}`").alias("text"))
     kind = given.schema[0].dataType.simpleString()
-    return given.mapInArrow(run, f"id {kind}, t binary, s binary, keys array<long>, fp long, size int, first array<long>")
+    return given.mapInArrow(run, f"id {kind}, t binary, s binary, keys array<long>, fp long, size int, first array<long>, need int, end long")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
@@ -237,20 +253,36 @@ def _by_fingerprint(sets: DataFrame, like: Likeness) -> DataFrame:
 
 
 def _by_first(sets: DataFrame, labels: DataFrame | None, like: Likeness) -> DataFrame:
-    """``(n, other)``: all sets of different groups that may be near copies, by shingles among the first of both.
+    """``(n, other)``: all sets of different groups that may be near copies.
 
-    At the first that they share, what follows in both must suffice as well.
+    A set that has ``need`` of its first shingles in other groups' first, at least, is an ``other``.  All but
+    ``need - 1`` of these shingles, those that fewest sets have, lead to the sets that it is held against.
     """
-    told = sets.select("n", "size", "first", F.col("n").alias("label"))
+    told = sets.select("n", "size", "need", "end", "first", F.col("n").alias("label"))
     if labels is not None:
         told = told.drop("label").join(labels, "n", "left").withColumn("label", F.coalesce("label", "n"))
-    each = told.select("n", "size", "label", F.lit(0).alias("band"), F.posexplode("first").alias("place", "key"))
-    active = cut_lineage(_mixed(each))
-    a, b = (active.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("n", "size", "label", "place"))) for x in "ab")
-    ends = (F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))).cast("double")
-    enough = ends >= (F.col("size_a") + F.col("size_b")) * like.least / (1 + like.least) - 1e-6
-    pairs = a.join(b, "key").where((F.col("label_a") < F.col("label_b")) & enough)
-    return pairs.select(F.col("n_a").alias("n"), F.col("n_b").alias("other")).distinct()
+    each = told.select("n", "label", F.posexplode("first").alias("place", "key"))
+    uses = each.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("uses"))
+    mixed = cut_lineage(uses.where("a <> b").select("key", "uses"))
+    release_shuffles(sets.sparkSession)
+    shared = cut_lineage(each.select("n", "key", "place").join(mixed, "key"))
+    drop_cut(mixed)
+    release_shuffles(sets.sparkSession)
+    enough = shared.groupBy("n").agg(F.count(F.lit(1)).alias("m")).join(told.drop("first"), "n").where("m >= need")
+    rarest = F.row_number().over(Window.partitionBy("n").orderBy("uses", "key"))
+    asked = shared.join(enough, "n").withColumn("nth", rarest).where("nth <= m - need + 1")
+    # written first, so that Spark can split the rows of a frequent key in the join
+    a = cut_lineage(asked.select("key", *(F.col(c).alias(f"{c}_a") for c in ("n", "size", "label", "place", "end"))))
+    keys = cut_lineage(a.select("key").distinct())
+    asked_for = shared.join(keys, "key", "left_semi").join(told.drop("first", "need"), "n")
+    b = cut_lineage(asked_for.select("key", *(F.col(c).alias(f"{c}_b") for c in ("n", "size", "label", "place", "end"))))
+    both = (F.least("place_a", "place_b") + F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))).cast("double")
+    may = both >= (F.col("size_a") + F.col("size_b")) * like.least / (1 + like.least) - 1e-6
+    pairs = a.join(b, "key").where((F.col("label_a") != F.col("label_b")) & (F.col("end_a") <= F.col("end_b")) & may)
+    out = cut_lineage(pairs.select(F.col("n_b").alias("n"), F.col("n_a").alias("other")).distinct())
+    for done in (shared, a, b, keys):
+        drop_cut(done)
+    return out
 
 
 def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -264,7 +296,10 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
         return roots.withColumnsRenamed({"label": "n", "root": "label"})
     moved = labels.join(roots, "label", "left").select("n", F.coalesce("root", "label").alias("label"))
     fresh = roots.join(labels, roots["label"] == labels["n"], "left_anti").withColumnsRenamed({"label": "n", "root": "label"})
-    return cut_lineage(moved.unionByName(fresh))
+    merged = cut_lineage(moved.unionByName(fresh))
+    drop_cut(roots)
+    drop_cut(labels)
+    return merged
 
 
 def _grouped(sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
@@ -280,13 +315,16 @@ def _grouped(sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
         if links.isEmpty():
             break
         labels = _merged(labels, links)
+        drop_cut(links)
         before = active
         told = active.drop("label").join(labels, "n", "left").withColumn("label", F.coalesce("label", "n"))
         active = cut_lineage(_mixed(told.select("n", "band", "key", "label")))
         drop_cut(before)
         more, seed = None, seed + 1
+        del held, pairs, told, before
+        release_shuffles(sets.sparkSession)
     drop_cut(active)
-    pairs = cut_lineage(_by_first(sets, labels, like))
+    pairs = _by_first(sets, labels, like)
     links = cut_lineage(_alike(pairs, sets, texts, like))
     drop_cut(pairs)
     if links.isEmpty():
@@ -304,15 +342,23 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     empty table gives no rows.
 
     Bands and fingerprints make the groups in few comparisons, and pairs of
-    different groups that share one of their first shingles are then compared
+    different groups that share enough of their first shingles are then compared
     all, so no link is left out (but by equal 64-bit hashes of different shingles).
     """
     rows = _different_texts(docs, id_col, text_col)
     sketches = cut_lineage(_sketches(rows, id_col, text_col, like))
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("least")
-    merged = sketches.groupBy("s").agg(least, *(F.first(c).alias(c) for c in ("keys", "fp", "size", "first")))
-    sets = cut_lineage(merged.select(F.monotonically_increasing_id().alias("n"), "least", F.col("least.t").alias("t"), "keys", "fp", "size", "first"))
+    merged = sketches.groupBy("s").agg(least, *(F.first(c).alias(c) for c in ("keys", "fp", "size", "first", "need", "end")))
+    sets = cut_lineage(merged.select(F.monotonically_increasing_id().alias("n"), "least", F.col("least.t").alias("t"), "keys", "fp", "size", "first", "need", "end"))
+    drop_cut(sketches)
+    del sketches, merged
+    release_shuffles(docs.sparkSession)
     labels = _grouped(sets, rows.select(F.col(_TEXT).alias("t"), F.col(f"`{text_col}`").alias("text")), like)
     placed = sets.select("n", "least").join(labels, "n", "left")
-    first = placed.groupBy(F.coalesce("label", "n").alias("label")).agg(F.min("least").alias("least")).select(F.col("least.t").alias(_TEXT))
+    first = placed.groupBy(F.coalesce("label", "n").alias("label")).agg(F.min("least").alias("least"))
+    first = cut_lineage(first.select(F.col("least.t").alias(_TEXT)))
+    drop_cut(sets)
+    drop_cut(labels)
+    del sets, placed, labels
+    release_shuffles(docs.sparkSession)
     return rows.join(first, _TEXT, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))

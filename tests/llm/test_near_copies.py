@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from loomwork.llm import near_copies, quality_rules
 
@@ -142,3 +144,17 @@ def test_stage(spark, sf_dir):
     rows = quality_rules.clean(docs).select("doc_id", "text").collect()
     got = corpus_pipeline.near_copies(spark, corpus_pipeline.quality(spark, docs, sf_dir), sf_dir).collect()
     assert sorted(r.doc_id for r in got) == slow(sorted(map(tuple, rows)))
+
+
+def test_passages_are_not_compared(spark, monkeypatch):
+    """Texts that share less than a near copy has are no pairs, also where no sample knows what they share."""
+    monkeypatch.setattr(near_copies, "SAMPLE", 0)
+    r, like = random.Random(9), near_copies.Likeness()
+    words = lambda n: " ".join(f"d{r.random()}" for _ in range(n))
+    passage, near = words(60), words(300).split()
+    texts = [words(r.randrange(200, 260)) + " " + passage for _ in range(150)] + [" ".join(near), edited(near, 5, r)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = near_copies._different_texts(docs, "doc_id", "text")
+    sets = near_copies._sketches(rows, "doc_id", "text", like).withColumn("n", F.col("id"))
+    pairs = {frozenset(p) for p in near_copies._by_first(sets, None, like).select("n", "other").collect()}
+    assert frozenset((150, 151)) in pairs and len(pairs) <= len(texts)
