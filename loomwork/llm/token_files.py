@@ -150,7 +150,7 @@ class PieceEncoder:
     are ``remember`` of them; then it starts afresh.
     """
 
-    def __init__(self, path: str, remember: int = 250_000, joined_chars: int = 1 << 10):
+    def __init__(self, path: str, remember: int = 600_000, joined_chars: int = 1 << 10):
         self.tokenizer = Tokenizer.from_file(path)
         self.remember, self.joined_chars = remember, joined_chars
         vocabulary = self.tokenizer.get_vocab()  # a character of a token is a byte of text

@@ -111,3 +111,14 @@ def test_query(spark, sf_dir):
         want.append((d.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, op2_token_files(spark, sf_dir).collect())) == want
+
+
+def test_pieces_are_encoded_once(monkeypatch):
+    """A worker's share of half a gigabyte has more than 250,000 different pieces."""
+    encoder, learned = tf.PieceEncoder(PATH), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda pieces, lengths: (learned.append(len(pieces)), learn(pieces, lengths)))
+    texts = [" ".join(["", *(f"{i:x}" for i in range(at, at + 20_000))]) for at in range(0, 280_000, 20_000)]
+    first = [encoder.encode([t])[0] for t in texts]
+    again = [encoder.encode([t])[0] for t in texts]
+    assert all(np.array_equal(a, b) for a, b in zip(first, again)) and sum(learned) == 280_000
