@@ -4,14 +4,15 @@ MinHash bands and the vantage-point trees of ``simhash`` retrieve pairs, the
 texts decide.  Within what shares a band, texts are held against one of them and
 not against each other; groups grow from the links found, and only where a band
 still joins texts of different groups is there another round, with other texts
-to be held against.  So the number of rounds does not depend on the length of
-chains or the size of groups.
+to be held against, as long as rounds find links for what they compare.  So the number
+of rounds does not depend on the length of chains or the size of groups.
 
 What bands miss, or hold against no text that is like it, is found last and
 exactly: of the first shingles of a text, in any order of all shingles, a near
 copy lacks at most a fifth of the text's.  A text of whose first shingles more
 are in no other group has no near copy there; the others are few, and are
-compared with all texts that share one of their rarest first shingles.
+compared with all texts that share one of their rarest first shingles, unless
+parities of their shingles differ in more places than two near copies' shingles can.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +118,15 @@ class Sketcher:
             end = (1 << 62) + int(self.rank[np.searchsorted(self.common, often[n - rare - 1])])
         return np.concatenate([hashes[~known], often])[:n], n - lacking, end
 
+    def parity(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the hashes dealt to each of ``PARITIES`` places are odd in number, as longs.
+
+        Of two sets each hash that only one of them has changes one place, so sets
+        differ in as many hashes as places, or more.
+        """
+        at = (hashes * self.odd[0]) >> np.uint64(64 - (PARITIES - 1).bit_length())
+        return np.packbits(np.bincount(at.astype(np.int64), minlength=PARITIES) & 1, bitorder="little").view("<i8")
+
     def __call__(self, hashes: np.ndarray) -> tuple[bytes, np.ndarray, int]:
         if not len(hashes):
             return bytes(16), np.zeros(self.like.bands, np.uint64), 0
@@ -128,6 +140,9 @@ class Sketcher:
         return xxhash.xxh3_128_digest(hashes.tobytes()), np.array(keys, np.uint64), fingerprint
 
 
+PARITIES = 1024  # a power of two; with more places long texts are told apart, by more bytes a text
+FEWEST = 0.05  # of its pairs that a round finds alike, if there is to be another
+
 _TEXT, _ROW = "__text_key", "__row"  # beside all columns of a caller's table
 
 
@@ -170,8 +185,8 @@ def _common(rows: DataFrame, text_col: str, like: Likeness) -> np.ndarray:
 
 
 def _sketches(rows: DataFrame, id_col: str, text_col: str, like: Likeness) -> DataFrame:
-    """``(id, t, s, keys, fp, size, first, need, end)``: id and key of a text, hash of its set of shingles,
-    bands' keys, fingerprint, number of shingles, the first of them and what ``Sketcher.first`` says of these."""
+    """``(id, t, s, keys, fp, size, first, need, end, parity)``: id and key of a text, hash of its set of shingles,
+    bands' keys, fingerprint, number of shingles, the first of them, what ``Sketcher.first`` says of these, and parities."""
     common = _common(rows, text_col, like)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,16 +200,18 @@ def _sketches(rows: DataFrame, id_col: str, text_col: str, like: Likeness) -> Da
                 first = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(firsts).astype(np.uint64).view(np.int64)))
                 flat = pa.array(np.concatenate(keys).view(np.int64))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * like.bands, pa.int32()), flat)
+                odd = pa.array(np.concatenate([sketch.parity(h) for h in hashes]))
+                parities = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * (PARITIES // 64), pa.int32()), odd)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(sets, pa.binary()), lists, pa.array(np.array(prints, np.uint64).view(np.int64)),
-                     pa.array([len(h) for h in hashes], pa.int32()), first, pa.array(needs, pa.int32()), pa.array(last, pa.int64())],
-                    ["id", "t", "s", "keys", "fp", "size", "first", "need", "end"],
+                     pa.array([len(h) for h in hashes], pa.int32()), first, pa.array(needs, pa.int32()), pa.array(last, pa.int64()), parities],
+                    ["id", "t", "s", "keys", "fp", "size", "first", "need", "end", "parity"],
                 )
         give_back()
 
     given = rows.select(F.col(f"`{id_col}`").alias("id"), F.col(_TEXT).alias("t"), F.col(f"`{text_col}`").alias("text"))
     kind = given.schema[0].dataType.simpleString()
-    return given.mapInArrow(run, f"id {kind}, t binary, s binary, keys array<long>, fp long, size int, first array<long>, need int, end long")
+    return given.mapInArrow(run, f"id {kind}, t binary, s binary, keys array<long>, fp long, size int, first array<long>, need int, end long, parity array<long>")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
@@ -257,8 +274,9 @@ def _by_first(sets: DataFrame, labels: DataFrame | None, like: Likeness) -> Data
 
     A set that has ``need`` of its first shingles in other groups' first, at least, is an ``other``.  All but
     ``need - 1`` of these shingles, those that fewest sets have, lead to the sets that it is held against.
+    Near copies lack few of each other's shingles, so few of their parities differ, whatever passage they share.
     """
-    told = sets.select("n", "size", "need", "end", "first", F.col("n").alias("label"))
+    told = sets.select("n", "size", "need", "end", "first", "parity", F.col("n").alias("label"))
     if labels is not None:
         told = told.drop("label").join(labels, "n", "left").withColumn("label", F.coalesce("label", "n"))
     each = told.select("n", "label", F.posexplode("first").alias("place", "key"))
@@ -272,13 +290,15 @@ def _by_first(sets: DataFrame, labels: DataFrame | None, like: Likeness) -> Data
     rarest = F.row_number().over(Window.partitionBy("n").orderBy("uses", "key"))
     asked = shared.join(enough, "n").withColumn("nth", rarest).where("nth <= m - need + 1")
     # written first, so that Spark can split the rows of a frequent key in the join
-    a = cut_lineage(asked.select("key", *(F.col(c).alias(f"{c}_a") for c in ("n", "size", "label", "place", "end"))))
+    a = cut_lineage(asked.select("key", *(F.col(c).alias(f"{c}_a") for c in ("n", "size", "label", "place", "end", "parity"))))
     keys = cut_lineage(a.select("key").distinct())
     asked_for = shared.join(keys, "key", "left_semi").join(told.drop("first", "need"), "n")
-    b = cut_lineage(asked_for.select("key", *(F.col(c).alias(f"{c}_b") for c in ("n", "size", "label", "place", "end"))))
+    b = cut_lineage(asked_for.select("key", *(F.col(c).alias(f"{c}_b") for c in ("n", "size", "label", "place", "end", "parity"))))
     both = (F.least("place_a", "place_b") + F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))).cast("double")
     may = both >= (F.col("size_a") + F.col("size_b")) * like.least / (1 + like.least) - 1e-6
-    pairs = a.join(b, "key").where((F.col("label_a") != F.col("label_b")) & (F.col("end_a") <= F.col("end_b")) & may)
+    apart = reduce(add, (F.bit_count(F.col("parity_a")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITIES // 64)))
+    few = apart <= (F.col("size_a") + F.col("size_b")) * (1 - like.least) / (1 + like.least) + 1e-6
+    pairs = a.join(b, "key").where((F.col("label_a") != F.col("label_b")) & (F.col("end_a") <= F.col("end_b")) & may & few)
     out = cut_lineage(pairs.select(F.col("n_b").alias("n"), F.col("n_a").alias("other")).distinct())
     for done in (shared, a, b, keys):
         drop_cut(done)
@@ -311,11 +331,13 @@ def _grouped(sets: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
         held = _to_hold(active, seed, labels is None)
         pairs = cut_lineage(held if more is None else held.unionByName(more).distinct())
         links = cut_lineage(_alike(pairs, sets, texts, like))
+        compared, found = pairs.count(), links.count()
         drop_cut(pairs)
-        if links.isEmpty():
-            break
-        labels = _merged(labels, links)
+        if found:
+            labels = _merged(labels, links)
         drop_cut(links)
+        if found <= FEWEST * compared:  # the few links that are left are found below, with all others
+            break
         before = active
         told = active.drop("label").join(labels, "n", "left").withColumn("label", F.coalesce("label", "n"))
         active = cut_lineage(_mixed(told.select("n", "band", "key", "label")))
@@ -348,8 +370,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = _different_texts(docs, id_col, text_col)
     sketches = cut_lineage(_sketches(rows, id_col, text_col, like))
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("least")
-    merged = sketches.groupBy("s").agg(least, *(F.first(c).alias(c) for c in ("keys", "fp", "size", "first", "need", "end")))
-    sets = cut_lineage(merged.select(F.monotonically_increasing_id().alias("n"), "least", F.col("least.t").alias("t"), "keys", "fp", "size", "first", "need", "end"))
+    merged = sketches.groupBy("s").agg(least, *(F.first(c).alias(c) for c in ("keys", "fp", "size", "first", "need", "end", "parity")))
+    sets = cut_lineage(merged.select(F.monotonically_increasing_id().alias("n"), "least", F.col("least.t").alias("t"), "keys", "fp", "size", "first", "need", "end", "parity"))
     drop_cut(sketches)
     del sketches, merged
     release_shuffles(docs.sparkSession)

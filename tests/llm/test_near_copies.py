@@ -158,3 +158,34 @@ def test_passages_are_not_compared(spark, monkeypatch):
     sets = near_copies._sketches(rows, "doc_id", "text", like).withColumn("n", F.col("id"))
     pairs = {frozenset(p) for p in near_copies._by_first(sets, None, like).select("n", "other").collect()}
     assert frozenset((150, 151)) in pairs and len(pairs) <= len(texts)
+
+
+def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
+    """Texts of one length that share a passage of more than half are told apart before they meet, near copies never."""
+    monkeypatch.setattr(near_copies, "SAMPLE", 0)
+    r, like = random.Random(10), near_copies.Likeness()
+    words = lambda n: " ".join(f"e{r.random()}" for _ in range(n))
+    passage, near = words(150), words(300).split()
+    texts = [words(90) + " " + passage for _ in range(100)] + [" ".join(near), edited(near, 5, r)]
+    for n in (5, 12, 100, 4000):
+        long = words(n).split()
+        texts += [" ".join(long), edited(long, max(1, n // 60), r)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = near_copies._different_texts(docs, "doc_id", "text")
+    sets = near_copies.cut_lineage(near_copies._sketches(rows, "doc_id", "text", like).withColumn("n", F.col("id")))
+    pairs = {tuple(sorted(p)) for p in near_copies._by_first(sets, None, like).select("n", "other").collect()}
+    same = [runs(t) for t in texts]
+    assert {(a, b) for b in range(len(texts)) for a in range(b) if alike(same[a], same[b])} <= pairs
+    assert len(pairs) <= len(texts)
+
+
+def test_rounds_end_when_they_find_little(spark, monkeypatch):
+    """Texts around one, many of them no near copies of each other, take few rounds and give the same groups."""
+    r, base = random.Random(11), [f"g{i}" for i in range(300)]
+    rows = list(enumerate(edited(base, r.randrange(4, 13), r) for _ in range(200)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    rounds, hold = [], near_copies._to_hold
+    monkeypatch.setattr(near_copies, "_to_hold", lambda *a: rounds.append(0) or hold(*a))
+    got = near_copies.drop_near_copies(df).collect()
+    assert sorted(x.doc_id for x in got) == slow(rows)
+    assert len(rounds) <= 3
