@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from ..storage import new_path
-from .texts import as_bytes, byte_table, map_batches, words_of
+from .texts import as_bytes, byte_table, map_batches, slices, words_of
 
 # Bytes that separate words, before A-Z are lowered.
 _SEPARATORS = [*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]
 WORDS = byte_table(_SEPARATORS, lower=True)
+SHARD_BYTES = 1 << 20  # of text in a shard, if the benchmark isn't larger
+MOST_SHARD_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -181,11 +183,13 @@ class Index:
         rows = items.select(F.col(id_col).cast("string").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
         blocks = -(-size // block_bytes) or 1
+        # a shard's arrays take some 40 times its bytes; with one much smaller than the benchmark, searches cost more than the sort
+        self.shard_bytes = min(max(size, SHARD_BYTES), MOST_SHARD_BYTES)
         rows.repartition(blocks, F.xxhash64("id", "text")).write.parquet(self.folder)
         self._cache: tuple[str, Patterns] | None = None
 
     def __getstate__(self):
-        return {"rule": self.rule, "folder": self.folder, "_cache": None}
+        return {"rule": self.rule, "folder": self.folder, "shard_bytes": self.shard_bytes, "_cache": None}
 
     def blocks(self) -> Iterator[Patterns]:
         """One block is in memory at a time."""
@@ -201,8 +205,14 @@ class Index:
             yield self._cache[1]
 
 
-def _inspect(texts: list[bytes], index: Index) -> list[list]:
-    """The values of ``FIELDS`` for the texts of one shard."""
+def _inspect(column: pa.Array, index: Index) -> list[list]:
+    """The values of ``FIELDS`` for a column of texts, one shard of it after the other."""
+    rows = pa.RecordBatch.from_arrays([column], ["text"])
+    shards = [_inspect_shard(as_bytes(part.column(0)), index) for part in slices(rows, 0, size=index.shard_bytes)]
+    return [[v for shard in shards for v in shard[i]] for i in range(len(FIELDS))]
+
+
+def _inspect_shard(texts: list[bytes], index: Index) -> list[list]:
     words = words_of(texts, WORDS)
     n_docs, n_words = len(texts), len(words.codes)
     hit = np.zeros(n_words + 1, bool)
@@ -249,9 +259,10 @@ def inspect(
 ) -> DataFrame:
     """Per row of ``docs``: words, hit words, items found, verdict, and the longest verbatim match.
 
-    Each Arrow batch of documents is a shard with a suffix array of its own, in
-    which every suffix of every item is searched for; nothing is shuffled.  The
-    benchmark is read in blocks of ``block_bytes``, whatever its size.
+    Each Arrow batch of documents is cut into shards with suffix arrays of their
+    own, in which every suffix of every item is searched for; nothing is shuffled.
+    The benchmark is read in blocks of ``block_bytes``, whatever its size, and a
+    shard is of ``SHARD_BYTES`` or, if that is more, of the benchmark's size up to ``MOST_SHARD_BYTES``.
     ``items_sha256`` is of the item ids in string order, joined by commas; items
     without an id count together as one and are not in it.  ``longest_match`` is
     in words and ``longest_at`` is the word it begins at (-1 without a match).
@@ -262,7 +273,7 @@ def inspect(
     rows = docs.select(id_col, text_col)
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = _inspect(as_bytes(batch.column(1)), index)
+        values = _inspect(batch.column(1), index)
         arrays = [pa.array(v, t) for v, t in zip(values, _TYPES)]
         return pa.RecordBatch.from_arrays([batch.column(0), *arrays], [id_col, *(f.name for f in FIELDS)])
 
@@ -278,7 +289,7 @@ def drop_contaminated(
     at, verdict = docs.columns.index(text_col), [f.name for f in FIELDS].index("contaminated")
 
     def of(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bad = _inspect(as_bytes(batch.column(at)), index)[verdict]
+        bad = _inspect(batch.column(at), index)[verdict]
         return batch.filter(pa.array([not b for b in bad], pa.bool_()))
 
     return map_batches(docs, of, docs.schema)

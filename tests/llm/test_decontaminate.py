@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loomwork.llm import decontaminate as dc
@@ -100,3 +101,16 @@ def test_no_rows(spark):
 
 def test_matches_stay_within_documents():
     assert words_of([b"A1-b C", b"", b"\xc3\xa9[x"], dc.WORDS).types.to_pylist() == [b"a1", b"b", b"c", "é".encode(), b"x"]
+
+
+def test_shards_are_bounded_in_bytes(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "some words of an item")], "item_id long, text string")
+    index = dc.Index(items, "item_id", "text", dc.Rule(), 4 << 20)
+    list(index.blocks())
+    of, sizes = dc.words_of, []
+    monkeypatch.setattr(dc, "words_of", lambda texts, table: sizes.append(sum(map(len, texts))) or of(texts, table))
+    texts = ["some words of an item", None, "other word " * 9_000] * 20 + ["long " * 400_000, "Some words of an item."]
+    n_words, n_hit, *_ = dc._inspect(pa.array(texts), index)
+    assert n_words == [5, 0, 18_000] * 20 + [400_000, 5] and n_hit == [5, 0, 0] * 20 + [0, 5]
+    assert sum(sizes) == sum(len(t or "") for t in texts)
+    assert sorted(sizes)[-1] == 2_000_000 and sorted(sizes)[-2] <= dc.SHARD_BYTES
